@@ -8,12 +8,23 @@ from pyspark.sql import functions as F
 from .common import table
 from .licenses import scan_licenses
 from .linededup import dedup_lines, line_dedup_sql
+from .packing import pack_documents
 from .sharding import extendible_shards, shard_sql
 
 #: Small enough that the test tables need several shards.
 SHARD_BYTES = 1 << 20
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), carry={"ids_crc32": F.crc32("ids")})
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -28,7 +39,7 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_line_dedup, op9_license_scan, op10_extendible_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_line_dedup, op9_license_scan, op10_extendible_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
