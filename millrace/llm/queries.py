@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fold, table
+from .langid import predict_language, train_langid
 from .licenses import scan_licenses
 from .linededup import dedup_lines, line_dedup_sql
 from .packing import pack_documents
+from .quality import AttentionMIL, score_quality, train_quality
 from .sharding import extendible_shards, shard_sql
 
 #: Small enough that the test tables need several shards.
@@ -30,6 +32,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> AttentionMIL | None:
+    """Learned from labels whose id is in fold 0 or 2 of 3."""
+    labels = table(spark, sf_dir, "labels").filter((fold(F.col("doc_id"), 3) != 1) & F.col("quality").isNotNull())
+    labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return train_quality(docs.join(labels, "doc_id"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score_quality(docs, quality_model(spark, sf_dir))
+    return out.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = train_langid(docs.filter(fold(F.col("doc_id"), 4) != 2))
+    return predict_language(docs, net).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -39,7 +61,7 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_line_dedup, op9_license_scan, op10_extendible_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_line_dedup, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
