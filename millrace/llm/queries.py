@@ -12,6 +12,7 @@ from .linededup import dedup_lines, line_dedup_sql
 from .packing import pack_documents
 from .quality import AttentionMIL, score_quality, train_quality
 from .sharding import extendible_shards, shard_sql
+from .simhash import hex_fingerprint, near_duplicates
 
 #: Small enough that the test tables need several shards.
 SHARD_BYTES = 1 << 20
@@ -27,6 +28,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), carry={"ids_crc32": F.crc32("ids")})
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id", "n_copies")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -61,7 +67,7 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_line_dedup, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_line_dedup, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
