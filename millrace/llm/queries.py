@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, table
+from .hmm import score_documents
 from .langid import predict_language, train_langid
 from .licenses import scan_licenses
 from .linededup import dedup_lines, line_dedup_sql
@@ -38,6 +39,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) != 2)
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> AttentionMIL | None:
     """Learned from labels whose id is in fold 0 or 2 of 3."""
     labels = table(spark, sf_dir, "labels").filter((fold(F.col("doc_id"), 3) != 1) & F.col("quality").isNotNull())
@@ -67,7 +72,7 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_line_dedup, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_line_dedup, op5_hmm_scoring, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
