@@ -65,3 +65,14 @@ def ascii_lower(s: Column) -> Column:
 
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hashed_sample(df: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` rows, those of the smallest hashes of ``key`` (fixed for given rows, whatever their order).
+
+    A threshold on the hash, set from the number of rows, leaves about half as many again before they are sorted.
+    """
+    n, k = df.count(), F.xxhash64(F.lit(11), F.col(key))
+    if n > 2 * max_rows:
+        df = df.filter(k < int(1.5 * max_rows / n * 2**64) - 2**63)
+    return df.withColumn("__k", k).orderBy("__k").limit(max_rows).drop("__k")

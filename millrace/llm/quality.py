@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hashed_sample
+
 PASSAGE = 1024
 HIDDEN = 24
 ATTENTION = 12
@@ -140,13 +142,17 @@ class AttentionMIL:
         return self._forward((x - self.mean) * self.scale, n)["score"]
 
 
-def train_quality(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = TRAIN_DOCS) -> AttentionMIL | None:
-    """Fit on at most ``max_docs`` labelled rows, the smallest by a hash of id and text; None if there are none.
+def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = TRAIN_DOCS) -> AttentionMIL | None:
+    """Fit on the documents of at most ``max_docs`` labels, the smallest by a hash of the id; None if there are none.
 
-    Passages are described on the executors; of a training row the first
-    ``TRAIN_PASSAGES`` are used (a bound on training only: scoring takes all).
+    A label that is repeated counts by its largest value, of documents that
+    share an id one is used. Passages are described on the executors; of a
+    training row the first ``TRAIN_PASSAGES`` are used (a bound on training
+    only: scoring takes all).
     """
-    sample = labelled.filter(F.col(label_col).isNotNull()).select(F.xxhash64(id_col, text_col).alias("k"), F.col(label_col).cast("double").alias("y"), text_col).orderBy("k", "y").limit(max_docs)
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("double").alias("y"))
+    few = F.broadcast(hashed_sample(known, "__id", max_docs))  # max_docs rows of two numbers
+    sample = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text")).join(few, F.col("__doc") == F.col("__id")).dropDuplicates(["__doc"])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +161,8 @@ def train_quality(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
             rows = [x[s : s + k].tobytes() for s, k in zip(at, n, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["y", "x"])
 
-    rows = sample.select("y", text_col).mapInArrow(describe, "y double, x binary").collect()
+    rows = sample.select("y", "text").mapInArrow(describe, "y double, x binary").collect()
+    rows = sorted(rows, key=lambda r: (r.y, bytes(r.x)))
     if not rows:
         return None
     bags = [np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in rows]

@@ -45,10 +45,8 @@ def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_model(spark: SparkSession, sf_dir: str) -> AttentionMIL | None:
     """Learned from labels whose id is in fold 0 or 2 of 3."""
-    labels = table(spark, sf_dir, "labels").filter((fold(F.col("doc_id"), 3) != 1) & F.col("quality").isNotNull())
-    labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return train_quality(docs.join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").filter(fold(F.col("doc_id"), 3) != 1)
+    return train_quality(table(spark, sf_dir, "documents"), labels)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
