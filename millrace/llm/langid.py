@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hashed_sample
+
 WINDOW = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -150,17 +152,11 @@ def train_langid(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Of each row ``TRAIN_WINDOWS`` windows, evenly spaced over the whole text, train the network.
     """
-    span = TRAIN_WINDOWS * WINDOW
     size = F.length(text_col)
-    cuts = [F.substring(F.col(text_col), (F.floor(size * k / TRAIN_WINDOWS) + 1).cast("int"), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)]
-    rows = (
-        labelled.filter(F.col(lang_col).isNotNull() & (size > 0))
-        .select(F.xxhash64(id_col, text_col).alias("k"), F.col(lang_col).alias("lang"), F.when(size <= span, F.array(*(F.substring(F.col(text_col), 1 + k * WINDOW, WINDOW) for k in range(TRAIN_WINDOWS)))).otherwise(F.array(*cuts)).alias("cuts"))
-        .orderBy("k", "lang")
-        .limit(max_docs)
-        .collect()
-    )
-    rows = [(r.lang, c.encode()[:WINDOW]) for r in rows for c in r.cuts if _LETTER.search(c)]
+    step = F.greatest(F.floor(size / TRAIN_WINDOWS), F.lit(WINDOW))
+    cuts = F.array(*(F.substring(F.col(text_col), (step * k + 1).cast("int"), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)))
+    rows = hashed_sample(labelled.filter(F.col(lang_col).isNotNull()), id_col, max_docs).select(F.col(lang_col).alias("lang"), F.coalesce(cuts, F.array()).alias("cuts")).collect()
+    rows = sorted((r.lang, c.encode()[:WINDOW]) for r in rows for c in r.cuts if c and _LETTER.search(c))
     languages = sorted({lang for lang, _ in rows})
     if not languages:
         return None
