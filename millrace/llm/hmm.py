@@ -42,7 +42,7 @@ ENDING_CLASSES = 1 << 12
 N_CLASSES = FREQUENT_CLASSES + ENDING_CLASSES + 1
 ENDING_LETTERS = 3
 #: Characters of text in a chunk; also at most what a partition of the input holds.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 SEGMENT = 256
 _LANES = 2048
 
@@ -75,13 +75,8 @@ def chunk_codes(docs: DataFrame, kind: str, chunk_bytes: int) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             words = list(numbers)
-            seen = np.zeros(len(words), np.int64)
-            n = np.zeros(len(words), np.int64)
-            for _, train, codes in held:
-                counts = np.bincount(codes, minlength=len(words))
-                seen += counts
-                if train:
-                    n += counts
+            seen = np.bincount(np.concatenate([c for _, _, c in held]), minlength=len(words))
+            n = np.bincount(np.concatenate([np.zeros(0, np.uint32), *(c for _, train, c in held if train)]), minlength=len(words))
             order = np.argsort(-seen, kind="stable")
             rank = np.empty(len(words), np.int64)
             rank[order] = np.arange(len(words))
