@@ -49,11 +49,11 @@ ANCHORS = 4
 MIN_SCORE = 0.6
 
 #: A-Z to lower case; every other ASCII byte that is no letter or digit to a space.
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_FOLD).split()
+    return (text or "").encode().translate(FOLD).split()
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int, dict[bytes, int]]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
 from .common import fold, table
+from .decontam import contaminated
 from .hmm import score_documents
 from .langid import predict_language, train_langid
 from .licenses import scan_licenses
@@ -48,6 +49,11 @@ def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) != 2)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only contaminated documents: one row per document and item found in it."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tid")
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> AttentionMIL | None:
     """Learned from labels whose id is in fold 0 or 2 of 3."""
     labels = table(spark, sf_dir, "labels").filter(fold(F.col("doc_id"), 3) != 1)
@@ -75,7 +81,7 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_line_dedup, op4_nearest_neighbours, op5_hmm_scoring, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_line_dedup, op4_nearest_neighbours, op5_hmm_scoring, op6_benchmark_decontamination, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
