@@ -7,10 +7,43 @@ returns a DataFrame, which the next stage gets as written and read again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.common import materialize, table
+from millrace.llm.decontam import without_contaminated
+from millrace.llm.linededup import dedup_lines
+from millrace.llm.packing import pack_documents
+from millrace.llm.quality import score_quality
+from millrace.llm.queries import quality_model, tokenizer_path
+from millrace.llm.simhash import one_of_each
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts. It learns from all documents' labels of two folds of three."""
+    return score_quality(docs, quality_model(spark, sf_dir)).filter("quality_score >= 0.5").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines they share with a document of a larger id; n_chars follows the text."""
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece, with its sequence and place."""
+    return pack_documents(docs, tokenizer_path(), carry={"ids_crc32": F.crc32("ids")})
+
+
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
 
 #: A trained classifier and tokenised packing have no SQL form; tests hold run() against a plain version.
 ORACLE_SQL = None
