@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, ascii_lower, shuffle_parts
+from .common import LOWER, UPPER, ascii_lower, materialize, shuffle_parts
 
 BLANKS = " \t\n\x0b\x0c\r"
 SALTS = 16
@@ -48,6 +48,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col
         .filter(F.length("key") >= min_chars)
         .select("did", "tid", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
+    rows = materialize(rows, "line-hashes")  # texts are split once, for the ranges' bounds and both uses
     ranged = (
         rows.withColumn("salt", F.pmod(F.xxhash64("did"), F.lit(SALTS)).cast("int"))
         .repartitionByRange(shuffle_parts(docs), "h1", "h2", "salt")
@@ -61,6 +62,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col
         .filter(F.col("n") >= min_docs)
         .select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), "keeper")
     )
+    shared = materialize(shared, "lines-shared")  # a plain side, so that Spark may split a line that very many documents share
     dropped = rows.join(shared, (rows.h1 == shared.s1) & (rows.h2 == shared.s2) & (rows.did != shared.keeper))
     words = dropped.groupBy("did", "tid", F.shiftright("pos", 6).alias("w")).agg(
         F.bitwise_not(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos").bitwiseAND(63)))).alias("bits")
