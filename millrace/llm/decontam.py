@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices
 from .licenses import FOLD
 
 PASSAGE = 32
@@ -158,7 +158,7 @@ def encode_texts(docs: DataFrame, bench: Benchmark, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = shared.value.get
-        for batch in batches:
+        for batch in slices(batches):
             keep, codes = [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
                 words = words_of(text)
@@ -249,14 +249,14 @@ def latent_space(coded: DataFrame, bench: Benchmark, n_docs: int, latent: int =
 
     def both(space: Space, rows: np.ndarray, energy: np.ndarray) -> np.ndarray:
         """Sum of x (x' G) over unit rows x, as (V, p)."""
-        y = _project(rows, space.weighted()) / energy[:, None]
-        inside = rows.reshape(-1)
-        where = np.flatnonzero(inside < size)
-        flat, of = inside[where], where // PASSAGE
-        out = np.empty((size, p))
-        for j in range(p):
-            out[:, j] = np.bincount(flat, weights=y[of, j], minlength=size)[:size]
-        return out * space.idf[:size, None]
+        y = (_project(rows, space.weighted()) / energy[:, None]).astype(np.float32)
+        out = np.zeros((size + 1, p))
+        for at in range(0, len(rows), 256):
+            some = rows[at : at + 256]
+            words, inside = np.unique(some, return_inverse=True)
+            counts = np.bincount(np.repeat(np.arange(len(some)), PASSAGE) * len(words) + inside.reshape(-1), minlength=len(some) * len(words))
+            out[words] += counts.reshape(len(some), -1).T.astype(np.float32) @ y[at : at + 256]
+        return out[:size] * space.idf[:size, None]
 
     def gram(space: Space, rows: np.ndarray, energy: np.ndarray) -> np.ndarray:
         y = (_project(rows, space.weighted()) / np.sqrt(energy)[:, None]).astype(np.float64)
@@ -342,7 +342,7 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
             member[k, item.codes] = True
         few = IN_WINDOW * (own < bench.size).sum(1)
         squares, own_energy = np.square(space.idf), _energy(own, space.idf)
-        for batch in batches:
+        for batch in slices(batches, 2000):
             best: dict[tuple[int, int], tuple] = {}
             codes = _unpack(batch.column(2), dtype)
             for of, number, rows, _ in _passing(batch, 2, space, dtype):
