@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Fixed values: (label, notice, key phrases that must stand in place).
 NOTICES = [
     ("mit", "released under the mit license", ["mit license"]),
@@ -62,7 +64,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 df.update(vocabulary.intersection(words_of(text)))
             df[b""] += batch.num_rows
@@ -174,7 +176,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(idf, postings)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [scanner.scan(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[n] for r in rows], kind) for n, kind in _FIELDS)], names=["doc_id", *(n for n, _ in _FIELDS)])
 
