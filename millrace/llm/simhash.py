@@ -7,14 +7,12 @@ two fingerprints differ span a space that some v is orthogonal to, and under
 that v's mask the two are equal: every pair within distance r meets in one of
 the 2^(r+1) - 1 tables, with certainty.
 
-Only distinct fingerprints enter the tables. A bucket with more than ``BUCKET``
-of them is not compared as a whole: its members agree on the bits of its mask,
-so the same code, drawn anew over the bits that are still free, deals them over
-finer buckets, again without losing a pair. Every level frees half of the bits,
-and distinct fingerprints that agree on all but f bits are at most 2^f, so the
-buckets end up small. Buckets give the edges of a spanning forest of their
-links, not their pairs. Components follow by label propagation with pointer
-jumping over tables in the shared folder.
+Only distinct fingerprints enter the tables. A bucket of more than ``BUCKET``
+of them is parted into blocks by hash, and each two of its blocks meet in a
+group of their own, so that no task holds more than about ``BUCKET`` members
+and no pair is lost. Groups give the edges of a spanning forest of their links,
+not their pairs. Components follow by label propagation with pointer jumping
+over tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -23,7 +21,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -85,31 +82,11 @@ def _tid(text: Column) -> Column:
 # Covering masks
 
 
-@lru_cache(1000)
-def covering_masks(free: int, radius: int, seed: int = SEED) -> tuple[int, ...]:
-    """Masks over the bits set in ``free`` such that any ``radius`` of them are missed by one mask."""
-    bits = [b for b in range(64) if free >> b & 1]
-    rng = np.random.default_rng([seed, free & 0xFFFFFFFF, free >> 32])
-    vectors = rng.integers(1, 1 << (radius + 1), len(bits))
-    masks = []
-    for v in range(1, 1 << (radius + 1)):
-        masks.append(sum(1 << b for b, u in zip(bits, vectors.tolist(), strict=True) if (u & v).bit_count() & 1))
-    return tuple(masks)
-
-
-def _deal(rows: DataFrame, radius: int) -> DataFrame:
-    """``table, free, fp`` -> a row for each finer table: ``table, free`` (bits not fixed yet), ``value`` (the masked bits)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for (table, free), part in batch.groupby(["table", "free"], sort=False):
-                fps, mine = part["fp"].to_numpy(), free & (1 << 64) - 1
-                for k, mask in enumerate(covering_masks(mine, radius)):
-                    left = np.array([mine & ~mask], np.uint64).view(np.int64)[0]
-                    fixed = np.array([~(mine & ~mask) & (1 << 64) - 1], np.uint64).view(np.int64)[0]
-                    yield pd.DataFrame({"table": f"{table}.{k}", "free": left, "value": fps & fixed, "fp": fps})
-
-    return rows.mapInPandas(run, "table string, free long, value long, fp long")
+@lru_cache(100)
+def covering_masks(radius: int, seed: int = SEED) -> tuple[int, ...]:
+    """Masks such that any ``radius`` of the 64 bits are missed by one mask."""
+    vectors = np.random.default_rng(seed).integers(1, 1 << (radius + 1), 64).tolist()
+    return tuple(sum(1 << b for b, u in enumerate(vectors) if (u & v).bit_count() & 1) for v in range(1, 1 << (radius + 1)))
 
 
 def _forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -143,32 +120,26 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
 
     ``fps`` must hold each fingerprint once.
     """
-    rows = fps.select(F.lit("t").alias("table"), F.lit(-1).cast("long").alias("free"), "fp")
-    key, found = ["table", "free", "value"], []
-    for level in range(7):
-        # At the first level all rows have the same masks, and need no Python.
-        dealt = materialize(_deal(rows, radius) if level else _deal_all(fps, radius), f"simhash-dealt-{level}")
-        sizes = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sizes = materialize(sizes, f"simhash-sizes-{level}")
-        large = sizes.filter(F.col("n") > bucket).select(*(F.col(k).alias(f"l_{k}") for k in key))
-        small = sizes.filter(F.col("n") <= bucket).select(*(F.col(k).alias(f"l_{k}") for k in key))
-        same = [F.col(k) == F.col(f"l_{k}") for k in key]
-        grouped = dealt.join(small, same, "left_semi").groupBy(*key).agg(F.collect_list("fp").alias("fps"))
-        found.append(_edges(grouped, radius))
-        if not large.limit(1).count():
-            break
-        # Buckets of one table share masks: only members of large buckets go on, with the bucket in the table's name.
-        rows = dealt.join(large, same, "left_semi").select(F.concat_ws("/", "table", F.hex("value")).alias("table"), "free", "fp")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return materialize(out.distinct(), "simhash-links")
-
-
-def _deal_all(fps: DataFrame, radius: int) -> DataFrame:
-    signed = lambda x: int(np.array([x & (1 << 64) - 1], np.uint64).view(np.int64)[0])
-    tables = F.array(*(F.struct(F.lit(f"t.{k}").alias("table"), F.lit(signed(~m)).alias("free"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("value")) for k, m in enumerate(covering_masks((1 << 64) - 1, radius))))
-    return fps.select(F.explode(tables).alias("t"), "fp").select("t.table", "t.free", "t.value", "fp")
+    key = ["table", "value"]
+    dealt = materialize(_deal(fps, radius), "simhash-dealt")
+    sizes = materialize(dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "simhash-sizes")
+    own = sizes.select(F.col("table").alias("t"), F.col("value").alias("v"), F.ceil(F.col("n") * 2 / bucket).alias("blocks"), "n")
+    placed = dealt.join(own, (dealt.table == own.t) & (dealt.value == own.v))
+    whole = placed.filter(F.col("n") <= bucket).withColumns({"low": F.lit(0), "high": F.lit(0)})
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    parts = placed.filter(F.col("n") > bucket).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    parts = parts.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    columns = [*key, "low", "high", "fp"]
+    groups = whole.select(columns).unionByName(parts.select(columns)).groupBy(*key, "low", "high").agg(F.collect_list("fp").alias("fps"))
+    return materialize(_edges(groups, radius).distinct(), "simhash-links")
+
+
+def _deal(fps: DataFrame, radius: int) -> DataFrame:
+    """``table, value`` (the masked bits), ``fp`` for every table; all of it built-in functions."""
+    signed = lambda x: int(np.array([x], np.uint64).view(np.int64)[0])
+    masks = covering_masks(radius)
+    tables = F.array(*(F.struct(F.lit(k).alias("table"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("value")) for k, m in enumerate(masks)))
+    return fps.select(F.explode(tables).alias("t"), "fp").select("t.table", "t.value", "fp")
 
 
 # Components
