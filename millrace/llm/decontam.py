@@ -97,7 +97,7 @@ class Benchmark:
     def build(cls, rows: list[tuple[int, str]]) -> Benchmark:
         out = cls()
         code = lambda w: out.vocab.setdefault(w, len(out.vocab))
-        for item_id, text in sorted(rows):
+        for item_id, text in sorted(set(rows)):
             codes = [code(w) for w in words_of(text)]
             sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text.strip()) if words_of(s)]
             answer = [code(w) for w in words_of(sentences[-1])] if sentences else []
@@ -354,14 +354,14 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
                     held = member[owner[b][:, None], rows[low + w]]
                     enough = (held.sum(1) >= few[b]) & ((held * squares[rows[low + w]]).sum(1) >= ENERGY * own_energy[b])
                     for i, j in zip(w[enough].tolist(), b[enough].tolist(), strict=True):
-                        doc, item = int(of[low + i]), int(owner[j])
-                        if best.get((doc, item), (0, 0, 0.0))[2] >= 1:
-                            continue
-                        at, ratio, answer = _verify(codes[doc], int(number[low + i]) * STEP - int(start[j]), bench.items[item])
-                        if (ratio >= SURE or ratio >= LIKELY and answer >= LIKELY) and ratio > best.get((doc, item), (0, 0, 0.0))[2]:
-                            best[doc, item] = (at, float(cosine[i, j]), ratio, answer)
+                        doc, item = int(of[low + i]), bench.items[owner[j]]
+                        so_far = best[doc, item.id][3] if (doc, item.id) in best else 0.0
+                        if so_far < 1:
+                            at, ratio, answer = _verify(codes[doc], int(number[low + i]) * STEP - int(start[j]), item)
+                            if ratio > so_far and (ratio >= SURE or ratio >= LIKELY and answer >= LIKELY):
+                                best[doc, item.id] = (at, len(item.codes), float(cosine[i, j]), ratio, answer)
             docs_ = [d for d, _ in best]
-            hits = [(bench.items[i].id, at, len(bench.items[i].codes), c, r, a) for (_, i), (at, c, r, a) in best.items()]
+            hits = [(item_id, *found) for (_, item_id), found in best.items()]
             rows_ = pa.array(docs_, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows_), batch.column(1).take(rows_), *(pa.array([h[n] for h in hits], t) for n, (_, t) in enumerate(_HITS))], names=["doc_id", "tid", *(n for n, _ in _HITS)])
 
