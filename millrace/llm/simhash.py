@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -158,16 +159,15 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
     touched = state.join(both.select(F.col("u").alias("node")).distinct(), "node", "left_semi")
     own = materialize(touched.select(F.col("label").alias("root"), F.col("node").alias("root_node")), "cc-roots")
     now = materialize(touched, "cc-start")
-    for k in range(1, 64):
+    for k in count(1):
         offered = both.join(now, both.u == now.node).groupBy(F.col("v").alias("node")).agg(F.min("label").alias("offer"))
         lower = now.join(offered, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "offer").alias("label"))
         # Pointer jumping: the node whose own label this is may know a smaller one already.
         jump = now.join(own, now.node == own.root_node).select(F.col("root").alias("r"), F.col("label").alias("r_label")).filter("r <> r_label")
         step = lower.join(jump, lower.label == jump.r, "left").select("node", "was", F.least("label", "r_label").alias("label"))
         step = materialize(step, f"cc-{k}")
-        changed = step.filter("label <> was").limit(1).count()
         now = step.select("node", "label")
-        if not changed:
+        if not step.filter("label <> was").limit(1).count():
             break
     return state.join(now.select("node", F.col("label").alias("least")), "node", "left").select("node", F.coalesce("least", "label").alias("label"))
 
