@@ -40,10 +40,15 @@ def capped_postings(target_keys: DataFrame, max_postings: int = MAX_POSTINGS) ->
 
 
 def candidate_scores(reference_keys: DataFrame, target_keys: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
-    """``s1_id, t_id, score``: the weights of the keys that a reference and a target share, added up."""
+    """``s1_id, t_id, score``: the weights of the keys that a reference and a target share, added up.
+
+    Hits are dealt by reference alone, which serves the sum over pairs and the
+    top-K after it: a pair shares few keys, so summing before the shuffle would
+    save little, and the cap bounds what one reference brings together.
+    """
     t = capped_postings(target_keys, max_postings).select("country", "key", F.col("entity_id").alias("t_id"))
     s = reference_keys.select("country", "key", F.col("entity_id").alias("s1_id"), "weight")
-    return s.join(t, ["country", "key"]).groupBy("s1_id", "t_id").agg(F.sum("weight").alias("score"))
+    return s.join(t, ["country", "key"]).select("s1_id", "t_id", "weight").repartition("s1_id").groupBy("s1_id", "t_id").agg(F.sum("weight").alias("score"))
 
 
 def top_candidates(scores: DataFrame, k: int = MAX_CANDIDATES) -> DataFrame:
