@@ -13,7 +13,9 @@ space of ``LATENT`` dimensions:
 There each direction is divided by the root of its eigenvalue, so that what the
 whole corpus says (its function words) does not drown what few passages say.
 A passage of a document is a candidate for each benchmark passage of cosine
-``COSINE`` or more. Passages whose words weigh less than ``ENERGY`` of the
+``COSINE`` or more, and, since words around a short item turn the passage away
+from it, for each on which its projection has ``CONTAINED`` of that passage's
+length. Passages whose words weigh less than ``ENERGY`` of the
 lightest benchmark passage cannot hold the most of any and are not looked up. Candidates are verified on the words around them: the
 longest common subsequence with the whole item must cover ``SURE`` of its words,
 or ``LIKELY`` of them and of its answer, the item's last sentence, so that a
@@ -47,6 +49,7 @@ STEP = 16
 LATENT = 128
 OVERSAMPLE = 8
 COSINE = 0.35
+CONTAINED = 0.4
 #: Part of a benchmark passage's squared weights that a passage must hold.
 ENERGY = 0.4
 SURE = 0.75
@@ -336,7 +339,9 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
         own, owner, start = bench.passages()
         weighted = space.weighted()
         unit = lambda y: y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
-        target = unit(_project(own, weighted)).T
+        target = _project(own, weighted)
+        length = np.maximum(np.linalg.norm(target, axis=1), 1e-9)
+        target = unit(target).T
         member = np.zeros((len(bench.items), bench.size + 1), bool)
         for k, item in enumerate(bench.items):
             member[k, item.codes] = True
@@ -346,14 +351,18 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
             best: dict[tuple[int, int], tuple] = {}
             codes = _unpack(batch.column(2), dtype)
             for of, number, rows, _ in _passing(batch, 2, space, dtype):
-                latent = unit(_project(rows, weighted))
+                latent = _project(rows, weighted)
+                spread = np.linalg.norm(latent, axis=1, keepdims=True)
+                latent /= np.maximum(spread, 1e-9)
                 for low in range(0, len(rows), 512):
                     cosine = latent[low : low + 512] @ target
-                    w, b = np.nonzero(cosine >= COSINE)
+                    w, b = np.nonzero(cosine >= np.minimum(COSINE, CONTAINED * length / spread[low : low + 512]))
                     # Words of the window that the item holds: an upper bound on what is in common.
                     held = member[owner[b][:, None], rows[low + w]]
-                    enough = (held.sum(1) >= few[b]) & ((held * squares[rows[low + w]]).sum(1) >= ENERGY * own_energy[b])
-                    for i, j in zip(w[enough].tolist(), b[enough].tolist(), strict=True):
+                    good = np.flatnonzero(held.sum(1) >= few[b])
+                    w, b, held = w[good], b[good], held[good]
+                    good = (held * squares[rows[low + w]]).sum(1) >= ENERGY * own_energy[b]
+                    for i, j in zip(w[good].tolist(), b[good].tolist(), strict=True):
                         doc, item = int(of[low + i]), bench.items[owner[j]]
                         so_far = best[doc, item.id][3] if (doc, item.id) in best else 0.0
                         if so_far < 1:
