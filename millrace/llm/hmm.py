@@ -44,7 +44,7 @@ ENDING_LETTERS = 3
 #: Characters of text in a chunk; also at most what a partition of the input holds.
 CHUNK_BYTES = 16 << 20
 SEGMENT = 256
-_LANES = 2048
+_LANES = 1024
 
 END = ""  # the end token: no word is empty
 
