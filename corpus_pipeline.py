@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from millrace.llm.common import materialize, table
 from millrace.llm.decontam import without_contaminated
 from millrace.llm.linededup import dedup_lines
+from millrace.llm.nearcopies import one_of_each
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_quality
 from millrace.llm.queries import quality_model, tokenizer_path
-from millrace.llm.simhash import one_of_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
     return one_of_each(docs).select(docs.columns)
 
 
