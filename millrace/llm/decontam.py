@@ -290,7 +290,7 @@ _HITS = [("item_id", pa.int64()), ("start_word", pa.int64()), ("n_words", pa.int
 
 def _verify(codes: np.ndarray, at: int, item: Item) -> tuple[int, float, float]:
     """Where the common subsequence may start, and how much of the item and of its answer the words from there hold."""
-    slack = 8 + len(item.codes) // 4
+    slack = STEP + len(item.codes) // 4  # the item may start up to STEP - 1 words after the window
     low = max(0, at - slack)
     region = codes[low : at + len(item.codes) + slack].tolist()
     ratio = longest_common_subsequence(item.codes, region) / len(item.codes)

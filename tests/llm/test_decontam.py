@@ -81,3 +81,13 @@ def test_query_finds_the_verbatim_items(spark):
     items = [(r.item_id, b" " + plain(r.text) + b" ") for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     want = {(d, i) for d, t in docs for i, x in items if x in t}
     assert want and {(r.doc_id, r.item_id) for r in queries.op6_benchmark_decontamination(spark, sf).collect()} == want
+
+
+def test_short_item_wherever_it_starts(spark):
+    rng = random.Random(8)
+    text = lambda n, kind="w": [f"{kind}{rng.randrange(9000)}" for _ in range(n)]
+    items = {n: text(n, "i") for n in (6, 7, 8, 11)}
+    docs = [(100 * n + at, " ".join([*text(48 + at), *item, *text(60)])) for n, item in items.items() for at in range(16)]
+    docs += [(5000 + k, " ".join(text(100))) for k in range(50)]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(i)) for n, i in items.items()], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(100 * n + at, n) for n in items for at in range(16)}
