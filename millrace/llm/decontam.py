@@ -31,6 +31,7 @@ large the benchmark is.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -56,10 +57,11 @@ SURE = 0.75
 LIKELY = 0.6
 #: Part of a benchmark passage's words that one window must hold for LIKELY of the item to be around.
 IN_WINDOW = 0.45
-#: Items of fewer words cannot be told from chance and take no part.
+#: Items of fewer words have no passage worth the name: they are found as they are written, or not.
 LEAST_WORDS = 6
 BLOCK_BYTES = 4 << 20
 _WINDOWS = 2048
+_HEAD = 4
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -67,6 +69,33 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(FOLD).split()
 
 
+#: Letters of scripts that are written without blanks, and their punctuation: Thai, Lao, Burmese, Khmer, kana, Han, full-width forms.
+_DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_dense = re.compile(f"[{_DENSE}]").match
+_dense_blank = re.compile(f"(?<=[{_DENSE}]) | (?=[{_DENSE}])")
+
+
+def written(text: str | None) -> str:
+    """The words between single blanks, without blanks beside letters of scripts that have none."""
+    return _dense_blank.sub("", " ".join(w.decode() for w in words_of(text)))
+
+
+def _bound(inner: str, outer: str) -> bool:
+    """Whether what ends in ``inner`` may end before ``outer``: not within a word."""
+    return not outer or bool(_dense(inner) or _dense(outer)) or not (outer.isalnum() or unicodedata.category(outer)[0] == "M")
+
+
+def find_written(item: str, text: str) -> int:
+    """Where ``item`` stands in ``text`` as whole words, or -1; both as :func:`written`."""
+    at = text.find(item)
+    while at >= 0:
+        end = at + len(item)
+        if _bound(item[0], text[at - 1 : at] if at else "") and _bound(item[-1], text[end : end + 1]):
+            return at
+        at = text.find(item, at + 1)
+    return -1
+
+
 def longest_common_subsequence(a: list[int], b: list[int]) -> int:
     """Its length, by bit-parallel rows (Hyyro's form); ``a``'s positions are the bits."""
     masks: dict[int, int] = defaultdict(int)
@@ -91,21 +120,26 @@ class Item:
 
 @dataclass
 class Benchmark:
-    """A block of items with their passages (starts and codes)."""
+    """A block of items with their passages (starts and codes); ``short`` are those under ``LEAST_WORDS`` words."""
 
     vocab: dict[bytes, int] = field(default_factory=dict)
     items: list[Item] = field(default_factory=list)
+    short: list[tuple[int, str]] = field(default_factory=list)
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]]) -> Benchmark:
         out = cls()
         code = lambda w: out.vocab.setdefault(w, len(out.vocab))
         for item_id, text in sorted(set(rows)):
-            codes = [code(w) for w in words_of(text)]
+            words = words_of(text)
+            if len(words) < LEAST_WORDS:
+                if words:
+                    out.short.append((item_id, written(text)))
+                continue
+            codes = [code(w) for w in words]
             sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text.strip()) if words_of(s)]
             answer = [code(w) for w in words_of(sentences[-1])] if sentences else []
-            if len(codes) >= LEAST_WORDS:
-                out.items.append(Item(item_id, codes, answer))
+            out.items.append(Item(item_id, codes, answer))
         return out
 
     @property
@@ -306,8 +340,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     of the item's words in common and in order, ``answer`` the same for its last
     sentence.
 
-    Defined cases: a null or empty text holds nothing; null, empty or very short
-    items (under ``LEAST_WORDS`` words) are skipped; repeated rows are found each
+    Items under ``LEAST_WORDS`` words are found where a document has all of them
+    in sequence as whole words (in scripts without blanks, character by
+    character); ``cosine``, ``lcs`` and ``answer`` are then 1.
+
+    Defined cases: a null or empty text holds nothing; null and empty items and
+    those without a letter or digit are skipped; repeated rows are found each
     for itself, a repeated item counts by its id; without items, or without
     documents, there are no rows.
     """
@@ -321,9 +359,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for k in range(n_blocks):
         rows = items.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == k).collect()  # about BLOCK_BYTES
         bench = Benchmark.build([(r.id, r.text) for r in rows])
-        if bench.items and n_docs:
-            hits = _search(wanted, bench, n_docs, kind)
-            found = hits if found is None else found.unionByName(hits)
+        if n_docs:
+            parts = [_search(wanted, bench, n_docs, kind)] if bench.items else []
+            parts += [_search_short(wanted, bench, kind)] if bench.short else []
+            for hits in parts:
+                found = hits if found is None else found.unionByName(hits)
     if found is None:
         return spark.createDataFrame([], f"doc_id {kind}, tid long, item_id long, start_word long, n_words long, cosine double, lcs double, answer double")
     return found
@@ -377,6 +417,33 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
     return coded.mapInArrow(run, f"doc_id {kind}, tid long, item_id long, start_word long, n_words long, cosine double, lcs double, answer double")
 
 
+def _search_short(docs: DataFrame, bench: Benchmark, kind: str) -> DataFrame:
+    """Hits of the short items. Those whose first ``_HEAD`` characters a text has are looked for in it."""
+    shared = docs.sparkSession.sparkContext.broadcast(bench.short)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads: dict[str, list[tuple[int, str]]] = defaultdict(list)
+        for item_id, item in shared.value:
+            heads[item[:_HEAD]].append((item_id, item))
+        sizes = sorted({len(h) for h in heads})
+        for batch in slices(batches):
+            rows, hits = [], []
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                own, seen = written(text), {}
+                for size in sizes:
+                    for head in heads.keys() & {own[i : i + size] for i in range(len(own) - size + 1)}:
+                        for item_id, item in heads[head]:
+                            at = -1 if item_id in seen else find_written(item, own)
+                            if at >= 0:
+                                seen[item_id] = (item_id, len(own[: at + 1].split()) - 1, len(item.split()), 1.0, 1.0, 1.0)
+                rows += [k] * len(seen)
+                hits += seen.values()
+            taken = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), *(pa.array([h[n] for h in hits], t) for n, (_, t) in enumerate(_HITS))], names=["doc_id", "tid", *(n for n, _ in _HITS)])
+
+    return docs.mapInArrow(run, f"doc_id {kind}, tid long, item_id long, start_word long, n_words long, cosine double, lcs double, answer double")
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found, unchanged."""
     hits = materialize(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid")).distinct(), "decontam-hits")

@@ -91,3 +91,10 @@ def test_short_item_wherever_it_starts(spark):
     docs += [(5000 + k, " ".join(text(100))) for k in range(50)]
     found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(i)) for n, i in items.items()], "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(100 * n + at, n) for n in items for at in range(16)}
+
+
+def test_items_of_few_words(spark):
+    items = [(1, "東京は日本の首都です。富士山は高い。"), (2, "Capital of France?"), (3, "กรุงเทพเป็นเมืองหลวง"), (4, "?!")]
+    docs = [(10, "昔、東京は日本の首都です。\n富士山は高い。と言う"), (11, "the CAPITAL of\nFrance, it is"), (12, "the capital of Frances"), (13, "capital of the France"), (14, "ที่กรุงเทพเป็นเมืองหลวงของ"), (15, "東京は日本の首都でした。富士山は高い。"), (16, None), (17, "?!"), (11, "capital of france")]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.start_word) for r in found.collect()) == [(10, 1, 0), (11, 2, 0), (11, 2, 1), (14, 3, 0)]
