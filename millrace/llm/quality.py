@@ -142,13 +142,18 @@ class AttentionMIL:
         return self._forward((x - self.mean) * self.scale, n)["score"]
 
 
+def _spread(x: np.ndarray, most: int = TRAIN_PASSAGES) -> np.ndarray:
+    """At most ``most`` of the rows, evenly from the first to the last."""
+    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).round().astype(int)]
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = TRAIN_DOCS) -> AttentionMIL | None:
     """Fit on the documents of at most ``max_docs`` labels, the smallest by a hash of the id; None if there are none.
 
     A label that is repeated counts by its largest value, of documents that
     share an id one is used. Passages are described on the executors; of a
-    training row the first ``TRAIN_PASSAGES`` are used (a bound on training
-    only: scoring takes all).
+    training row at most ``TRAIN_PASSAGES`` are used, spread evenly over its
+    whole text (a bound on training only: scoring takes all).
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("double").alias("y"))
     few = F.broadcast(hashed_sample(known, "__id", max_docs))  # max_docs rows of two numbers
@@ -156,9 +161,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, n = passages_of([(t or "").encode()[: PASSAGE * TRAIN_PASSAGES] for t in batch.column(1).to_pylist()])
-            at = np.cumsum(n) - n
-            rows = [x[s : s + k].tobytes() for s, k in zip(at, n, strict=True)]
+            rows = [_spread(passages_of([(t or "").encode()])[0]).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["y", "x"])
 
     rows = sample.select("y", "text").mapInArrow(describe, "y double, x binary").collect()

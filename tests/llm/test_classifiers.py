@@ -107,3 +107,15 @@ def test_messy_language(spark, messy, none):
     assert L.predict_language(none, net).count() == 0
     assert L.train_langid(labelled.filter("false")) is None
     assert {r.lang_pred for r in L.predict_language(messy, None).collect()} == {"und"}
+
+
+def test_training_reads_passages_of_the_whole_text(spark, monkeypatch):
+    start = "A plain line of good text. " * 4000  # over 64 passages
+    docs = spark.createDataFrame([(1, start), (2, start + "@@@ ### " * 12000)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(Q.AttentionMIL, "fit", lambda self, x, n, y: seen.append((x, n, y)) or self)
+    Q.train_quality(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    (x, n, y), = seen
+    assert n.tolist() == [Q.TRAIN_PASSAGES] * 2 and y.tolist() == [0, 1]
+    hashes = x[:, ord("#")] > 0
+    assert hashes[:64].sum() >= 25 and not hashes[64:].any()
