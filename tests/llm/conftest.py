@@ -22,7 +22,7 @@ MESSY = [
     (10, "short"),
 ]
 #: Names that operators use inside, as extra columns of the input.
-CLASHING = "did long, tid long, fp long, h long, pos int, line string, words string, k long, uid long, piece int, chunk long, code int, n_lines long, score double, label int, prefix string, component_id long, n long"
+CLASHING = "did long, tid long, fp long, h long, pos int, line string, words string, k long, uid long, piece int, chunk long, code int, n_lines long, score double, label int, prefix string, component_id long, n long, __did long, __tid long, __words string, __id long, _did long, __row_tid long, did_ long, node long, a long, b long, sample_key long, keeper boolean"
 
 
 @pytest.fixture(scope="session")

@@ -78,3 +78,19 @@ def test_query_and_sql(spark):
 def test_other_column_names(spark):
     df = spark.createDataFrame([("a", "x")], "name string, body string").select(F.lit(1).alias("id"), F.col("body"))
     assert L.dedup_lines(df, id_col="id", text_col="body").first().n_lines == 1
+
+
+def test_ids_of_other_types_and_clashing_names(spark):
+    rows = [("a", "The same line stands in many documents.\nown"), ("b", "the same line stands in many documents."), ("c", "THE SAME line stands in many documents.\nmine"), (None, "The same line stands in many documents.")]
+    df = spark.createDataFrame([(*r, 1, 2, "w") for r in rows], "doc_id string, text string, __did int, __tid int, __words string")
+    out = {r.doc_id: (r.text, r.n_dropped, r["__did"], r["__tid"], r["__words"]) for r in L.dedup_lines(df).collect()}
+    assert out == {"a": ("own", 1, 1, 2, "w"), "b": ("", 1, 1, 2, "w"), "c": (rows[2][1], 0, 1, 2, "w"), None: ("", 1, 1, 2, "w")}
+
+
+def test_a_hot_line_is_spread_over_the_ranges(spark):
+    """A line of a third of all rows: its rows are dealt over several partitions by the document's hash."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("This very common line stands in every document.\n"), F.col("id").cast("string"), F.lit(" own line of some length\n"), F.col("id").cast("string"), F.lit(" other line of some length")).alias("text"))
+    out = L.dedup_lines(hot)
+    assert out.filter("n_dropped = 1").count() == 5999 and out.filter("n_dropped = 0").first().doc_id == 5999
