@@ -20,15 +20,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample
+from .common import byte_slices, hashed_sample, materialize, within_bytes
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
-#: Rows that training may use, the smallest by a hash of the id, and windows of each.
-TRAIN_DOCS = 3000
-TRAIN_WINDOWS = 4
+#: The sample of labelled rows that training may use: so many rows (the same number for each language), bytes of text in
+#: all, and bytes of one text.
+TRAIN_DOCS = 1200
+TRAIN_BYTES = 8 << 20
+TRAIN_TEXT = 1 << 20
+#: Bytes of text that are cut into windows at a time.
+SLICE_BYTES = 1 << 20
 EPOCHS = 6
 UNDETERMINED = "und"
 _BLOCK = 256
@@ -48,6 +52,11 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat.reshape(-1, WINDOW), owner, filled
 
 
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    prob = np.exp(logits - logits.max(1, keepdims=True))
+    return prob / prob.sum(1, keepdims=True)
+
+
 class ByteConvNet:
     def __init__(self, languages: list[str], seed: int = 1) -> None:
         rng = np.random.default_rng(seed)
@@ -60,7 +69,7 @@ class ByteConvNet:
         self.p["o"] = np.zeros(len(languages))
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 0.01, seed: int = 2) -> ByteConvNet:
-        """Adam on cross-entropy. A filter's gradient flows through the position of its maximum."""
+        """Adam on cross-entropy."""
         rng, p = np.random.default_rng(seed), self.p
         m = {k: np.zeros_like(v) for k, v in p.items()}
         v = {k: np.zeros_like(q) for k, q in p.items()}
@@ -68,34 +77,7 @@ class ByteConvNet:
         for _ in range(epochs):
             order = rng.permutation(len(x))
             for at in range(0, len(x), batch):
-                idx = order[at : at + batch]
-                bx, rows = x[idx], np.arange(len(idx))
-                emb = p["E"][bx]
-                pooled, patches = [], []
-                for w in WIDTHS:
-                    view = np.lib.stride_tricks.sliding_window_view(emb, w, axis=1).transpose(0, 1, 3, 2).reshape(len(idx), WINDOW - w + 1, w * EMBED)
-                    conv = view @ p[f"W{w}"]
-                    top = conv.argmax(1)
-                    pooled.append(np.take_along_axis(conv, top[:, None, :], 1)[:, 0] + p[f"b{w}"])
-                    patches.append((top, view[rows[:, None], top]))
-                z = np.concatenate(pooled, 1)
-                hidden = np.maximum(z, 0)
-                logits = hidden @ p["O"] + p["o"]
-                prob = np.exp(logits - logits.max(1, keepdims=True))
-                prob /= prob.sum(1, keepdims=True)
-                d = prob
-                d[rows, y[idx]] -= 1
-                d /= len(idx)
-                g = {"O": hidden.T @ d, "o": d.sum(0), "E": np.zeros_like(p["E"])}
-                dz = (d @ p["O"].T) * (z > 0)
-                for k, w in enumerate(WIDTHS):
-                    dw = dz[:, k * FILTERS : (k + 1) * FILTERS]
-                    top, patch = patches[k]
-                    g[f"b{w}"] = dw.sum(0)
-                    g[f"W{w}"] = np.einsum("nf,nfe->ef", dw, patch)
-                    back = (dw[:, :, None] * p[f"W{w}"].T[None]).reshape(len(idx), FILTERS, w, EMBED)
-                    for j in range(w):
-                        np.add.at(g["E"], bx[rows[:, None], top + j], back[:, :, j])
+                g = self.gradients(x[order[at : at + batch]], y[order[at : at + batch]])
                 step += 1
                 for k, q in p.items():
                     m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -103,6 +85,34 @@ class ByteConvNet:
                     q -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
         return self
 
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy of some windows. A filter's gradient flows through the position of its maximum."""
+        p, rows = self.p, np.arange(len(x))
+        emb = p["E"][x]
+        pooled, patches = [], []
+        for w in WIDTHS:
+            view = np.lib.stride_tricks.sliding_window_view(emb, w, axis=1).transpose(0, 1, 3, 2).reshape(len(x), WINDOW - w + 1, w * EMBED)
+            conv = view @ p[f"W{w}"]
+            top = conv.argmax(1)
+            pooled.append(np.take_along_axis(conv, top[:, None, :], 1)[:, 0] + p[f"b{w}"])
+            patches.append((top, view[rows[:, None], top]))
+        z = np.concatenate(pooled, 1)
+        hidden = np.maximum(z, 0)
+        d = _softmax(hidden @ p["O"] + p["o"])
+        d[rows, y] -= 1
+        d /= len(x)
+        g = {"O": hidden.T @ d, "o": d.sum(0), "E": np.zeros_like(p["E"])}
+        dz = (d @ p["O"].T) * (z > 0)
+        for k, w in enumerate(WIDTHS):
+            dw = dz[:, k * FILTERS : (k + 1) * FILTERS]
+            top, patch = patches[k]
+            g[f"b{w}"] = dw.sum(0)
+            g[f"W{w}"] = np.einsum("nf,nfe->ef", dw, patch)
+            back = (dw[:, :, None] * p[f"W{w}"].T[None]).reshape(len(x), FILTERS, w, EMBED)
+            for j in range(w):
+                np.add.at(g["E"], x[rows[:, None], top + j], back[:, :, j])
+        return g
+
     def compile(self) -> ByteConvNet:
         """Tables over byte pairs (and one over bytes for an odd width) for every width."""
         self.tables = {}
@@ -128,9 +138,7 @@ class ByteConvNet:
                 if odd is not None:
                     conv += odd[b[:, w - 1 :]]
                 pooled.append(conv.max(1) + self.p[f"b{w}"])
-            logits = np.maximum(np.concatenate(pooled, 1), 0) @ self.p["O"] + self.p["o"]
-            prob = np.exp(logits - logits.max(1, keepdims=True))
-            out[at : at + _BLOCK] = prob / prob.sum(1, keepdims=True)
+            out[at : at + _BLOCK] = _softmax(np.maximum(np.concatenate(pooled, 1), 0) @ self.p["O"] + self.p["o"])
         return out
 
     def documents(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -147,21 +155,26 @@ class ByteConvNet:
         )
 
 
-def train_langid(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = TRAIN_DOCS) -> ByteConvNet | None:
-    """Fit on at most ``max_docs`` rows with a language, the smallest by a hash of the id; None if there are none.
+def train_langid(
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES
+) -> ByteConvNet | None:
+    """Fit on the whole texts of a bounded sample of rows with a language; None if there are none.
 
-    Of each row ``TRAIN_WINDOWS`` windows, evenly spaced over the whole text, train the network.
+    The sample: of each language as many different texts, the smallest by a
+    hash, as give ``max_docs`` rows in all (one at least); of those as many,
+    smallest hash first, as take their language's part of ``max_bytes``; texts
+    over ``TRAIN_TEXT`` and texts without a letter are left out. All windows of
+    a text take part in training.
     """
-    size = F.length(text_col)
-    step = F.greatest(F.floor(size / TRAIN_WINDOWS), F.lit(WINDOW))
-    cuts = F.array(*(F.substring(F.col(text_col), (step * k + 1).cast("int"), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)))
-    rows = hashed_sample(labelled.filter(F.col(lang_col).isNotNull()), id_col, max_docs).select(F.col(lang_col).alias("lang"), F.coalesce(cuts, F.array()).alias("cuts")).collect()
-    rows = sorted((r.lang, c.encode()[:WINDOW]) for r in rows for c in r.cuts if c and _LETTER.search(c))
-    languages = sorted({lang for lang, _ in rows})
-    if not languages:
+    known = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= TRAIN_TEXT))
+    n = known.select("lang").distinct().count()
+    if not n:
         return None
-    x = np.stack([np.frombuffer(c.ljust(WINDOW, b"\0"), np.uint8) for _, c in rows])
-    return ByteConvNet(languages).fit(x, np.array([languages.index(lang) for lang, _ in rows]))
+    sample = materialize(hashed_sample(known, max(1, max_docs // n), ["text"], stratum="lang").distinct(), "langid-sample")
+    rows = sorted((r.lang, r.text.encode()) for r in within_bytes(sample, "text", max_bytes, TRAIN_TEXT, by="lang", groups=n).collect())
+    languages = sorted({lang for lang, _ in rows})
+    x, owner, _ = windows_of([t for _, t in rows])
+    return ByteConvNet(languages).fit(x, np.array([languages.index(rows[k][0]) for k in owner]))
 
 
 def predict_language(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,7 +182,9 @@ def predict_language(docs: DataFrame, net: ByteConvNet | None, id_col: str = "do
 
     Defined cases: a null text, or one without a letter, is ``und`` with score
     0, and so is every row if there was nothing to train on; repeated rows get
-    equal results; an empty table gives no rows.
+    equal results; an empty table gives no rows. Windows are scored a block at a
+    time, so a very long text adds a few times its own size; other columns are
+    ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     model = docs.sparkSession.sparkContext.broadcast(net)  # parameters of a fixed architecture
@@ -178,10 +193,10 @@ def predict_language(docs: DataFrame, net: ByteConvNet | None, id_col: str = "do
         net = model.value
         net = net and net.compile()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = part.column(1).to_pylist()
+            at = 0
+            for texts in byte_slices((t.as_py() for t in batch.column(1)), SLICE_BYTES):
                 lang, score = net.documents(texts) if net else ([UNDETERMINED] * len(texts), [0.0] * len(texts))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+                at += len(texts)
 
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
