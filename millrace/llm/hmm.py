@@ -8,16 +8,17 @@ so the classes are bounded while words are not. The model is
 
 the second factor from smoothed counts of all training tokens. Transitions and
 class emissions are trained by Baum-Welch: each partition of training documents
-sums its expected counts, the sums over partitions give the next model. The
-score is the exact likelihood of a document's whole token sequence by the
-scaled forward recursion; a long document's segments are run side by side as
-matrices and then chained, which is the same recursion in another order.
+sums its expected counts, the sums over partitions give the next model, until
+the training likelihood hardly grows. The score is the exact likelihood of a
+document's whole token sequence by the scaled forward recursion. In both, a long
+document's segments are run side by side as matrices and then chained, which is
+the same recursion in another order.
 
 Words and their counts never come together as one table on a machine. A chunk
 (some of the documents of a partition) numbers its distinct words and names
-each of them once with its count; one window over the word adds up the counts
-of all chunks, and each chunk gets those of its own words back, to encode its
-documents with.
+each of them once with its count; one aggregation by word adds up the counts of
+all chunks, and each chunk gets those of its own words back by a join, to encode
+its documents with.
 """
 
 from __future__ import annotations
@@ -28,13 +29,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import materialize, release, slices, written
 
 STATES = 8
-ITERATIONS = 6
+#: Rounds of Baum-Welch at most; they end when a token's mean log-likelihood (natural) grows by less than ``GAIN``.
+ITERATIONS = 10
+GAIN = 0.005
 #: Part of all tokens from which on a word is frequent.
 FREQUENT = 2e-5
 FREQUENT_CLASSES = 1 << 14
@@ -43,8 +46,9 @@ N_CLASSES = FREQUENT_CLASSES + ENDING_CLASSES + 1
 ENDING_LETTERS = 3
 #: Characters of text in a chunk; also at most what a partition of the input holds.
 CHUNK_BYTES = 16 << 20
-SEGMENT = 256
-_LANES = 1024
+#: Classes of a sequence that are followed one after another; and classes that are followed at a time.
+SEGMENT = 1024
+_CELLS = 1 << 18
 
 END = ""  # the end token: no word is empty
 
@@ -144,15 +148,14 @@ _ENCODED = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa
 def encode_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, Totals]:
     """``doc_id, train``, token counts, base score, the words' part of the score and the class sequence (two bytes a
     token) of every row; and totals over the training tokens."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind, mark = docs.schema[id_col].dataType.simpleString(), written()
     wanted = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
     coded = materialize(chunk_codes(wanted, kind, chunk_bytes), "lm-codes")
     words = coded.filter("code is not null").select("chunk", "code", "word", "n")
     total = words.agg(F.sum("n")).first()[0] or 0
-    everywhere = Window.partitionBy("word")
-    counted = words.select("chunk", "code", "word", F.sum("n").over(everywhere).alias("c"), (F.min("chunk").over(everywhere) == F.col("chunk")).alias("first"))
-    counted = materialize(counted.select("chunk", "code", "c", "first", word_class(F.col("word"), F.col("c"), total).alias("class")), "lm-counts")
-    by_class = counted.filter("first and c > 0").groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()  # a row a class
+    counts = words.groupBy("word").agg(F.sum("n").alias("c")).select(F.col("word").alias("c_word"), "c", word_class(F.col("word"), F.col("c"), total).alias("class"))
+    counts = materialize(counts, "lm-counts")  # a plain side, so that Spark may split a word that very many chunks share
+    by_class = counts.filter("c > 0").groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()  # a row a class
     class_tokens, class_distinct = np.zeros(N_CLASSES, np.int64), np.zeros(N_CLASSES, np.int64)
     for r in by_class:
         class_tokens[r["class"]], class_distinct[r["class"]] = r["c"], r["v"]
@@ -174,10 +177,12 @@ def encode_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", tex
         return pa.table([texts["doc_id"], texts["train"], *(pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(_ENCODED))], names=["doc_id", "train", *(n for n, _ in _ENCODED)])
 
     texts = coded.filter("code is null").select("chunk", "doc_id", "train", "codes", "rare")
-    tables = counted.select("chunk", "code", "c", "class")
+    tables = words.join(counts, words.word == counts.c_word).select(F.col("chunk").alias("t_chunk"), "code", "c", "class")
     out = f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, word_score double, classes binary"
-    encoded = texts.groupBy("chunk").cogroup(tables.groupBy("chunk")).applyInArrow(run, out)
-    return materialize(encoded, "lm-encoded"), totals
+    encoded = texts.groupBy("chunk").cogroup(tables.groupBy("t_chunk")).applyInArrow(run, out)
+    encoded = materialize(encoded, "lm-encoded")
+    release(docs.sparkSession, mark, encoded)
+    return encoded, totals
 
 
 # The model
@@ -204,97 +209,123 @@ class HMM:
         return HMM(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _lanes(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Segments side by side, longest first: classes (time, lane), lengths, and whether a lane begins its document."""
-    parts = [(d[at : at + SEGMENT], at == 0) for d in docs for at in range(0, len(d), SEGMENT)]
-    parts.sort(key=lambda p: -len(p[0]))
-    for at in range(0, len(parts), _LANES):
-        some = parts[at : at + _LANES]
-        n = np.array([len(p) for p, _ in some])
-        x = np.zeros((n[0], len(some)), np.int64)
-        for k, (p, _) in enumerate(some):
-            x[: len(p), k] = p
-        yield x, n, np.array([f for _, f in some])
+def _lanes(parts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sequences side by side, longest first, about ``_CELLS`` classes at a time: which they are, classes (time, lane),
+    and how many lanes still run at each time."""
+    n = np.array([len(p) for p in parts])
+    order = np.argsort(-n, kind="stable")
+    at = 0
+    while at < len(order):
+        steps = int(n[order[at]])
+        ids = order[at : at + max(1, _CELLS // steps)]
+        at += len(ids)
+        x = np.zeros((steps, len(ids)), np.int64)
+        for k, i in enumerate(ids):
+            x[: n[i], k] = parts[i]
+        yield ids, x, np.searchsorted(-n[ids], -np.arange(1, steps + 1), side="right")
+
+
+def _forward(model: HMM, x: np.ndarray, alive: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward recursion in lanes. ``entry``: (lanes, rows, K), weights of states at the first class, for as many
+    rows as are followed at once. The last state weights (each lane's sum to 1) and the log of what they were scaled by."""
+    state, logs = entry.copy(), np.zeros(x.shape[1])
+    rows, k = entry.shape[1:]
+    for t, m in enumerate(alive):
+        s = state[:m] if t == 0 else (state[:m].reshape(-1, k) @ model.move).reshape(m, rows, k)
+        s = s * model.emit[x[t, :m]][:, None, :]
+        scale = s.sum((1, 2))
+        state[:m] = s / scale[:, None, None]
+        logs[:m] += np.log(scale)
+    return state, logs
+
+
+class _Segments:
+    """The segments of some sequences, and what enters each from the left and from the right.
+
+    A later segment is followed from every state at once, as a K x K matrix;
+    the weights of states then pass the matrices from left to right, and what
+    the rest of a sequence is worth to each state from right to left. Nothing is
+    cut at a border, so the sums over segments are those over whole sequences.
+    """
+
+    def __init__(self, model: HMM, docs: list[np.ndarray], backward: bool) -> None:
+        k = len(model.start)
+        self.parts = [d[at : at + SEGMENT] for d in docs for at in range(0, len(d), SEGMENT)]
+        self.count = np.array([-(-len(d) // SEGMENT) for d in docs], np.int64)
+        self.first = np.cumsum(self.count) - self.count
+        n = len(self.parts)
+        self.entry = np.tile(model.start, (n, 1))  # weights of states at the first class
+        self.before = np.zeros((n, k))  # those at the class before
+        self.after = np.ones((n, k))
+        self.last, self.logs = np.zeros((n, k)), np.zeros(n)
+        heads = [i for i, c in zip(self.first, self.count, strict=True) if c > 1 or not backward]
+        for ids, x, alive in _lanes([self.parts[i] for i in heads]):
+            own = np.array(heads)[ids]
+            state, logs = _forward(model, x, alive, self.entry[own, None, :])
+            self.last[own], self.logs[own] = state[:, 0], logs
+        tails = [f + j for f, c in zip(self.first, self.count, strict=True) for j in range(1, c)]
+        matrix = np.zeros((n if tails else 0, k, k))
+        for ids, x, alive in _lanes([self.parts[i] for i in tails]):
+            own = np.array(tails)[ids]
+            matrix[own], self.logs[own] = _forward(model, x, alive, np.broadcast_to(model.move, (len(own), k, k)))
+        for f, c in zip(self.first, self.count, strict=True):
+            for i in range(f + 1, f + c):
+                self.before[i] = self.last[i - 1]
+                v = self.last[i - 1] @ matrix[i]
+                self.logs[i] += np.log(v.sum())
+                self.last[i] = v / v.sum()
+                self.entry[i] = self.before[i] @ model.move
+            for i in range(f + c - 1, f, -1) if backward else ():
+                rest = matrix[i] @ self.after[i]
+                self.after[i - 1] = rest / rest.max()
 
 
 def expected_counts(model: HMM, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Baum-Welch's sums over some class sequences. In training a later segment starts from the stationary mix of states."""
+    """Baum-Welch's sums over some class sequences, exact however long they are."""
     k = len(model.start)
     start, move, emit, loglik = np.zeros(k), np.zeros((k, k)), np.zeros(model.emit.shape), 0.0
-    mix = np.linalg.matrix_power(model.move, 64).mean(0)
-    for x, n, first in _lanes(docs):
+    all_ = _Segments(model, docs, backward=True)
+    begins = np.zeros(len(all_.parts), bool)
+    begins[all_.first] = True
+    for ids, x, alive in _lanes(all_.parts):
         steps, lanes = x.shape
-        alive = np.searchsorted(-n, -np.arange(1, steps + 1), side="right")  # lanes still running at each step
-        alpha = np.empty((steps, lanes, k))
-        scale = np.ones((steps, lanes))
-        for t in range(steps):
-            m = alive[t]
-            a = (np.where(first[:m, None], model.start, mix) if t == 0 else alpha[t - 1, :m] @ model.move) * model.emit[x[t, :m]]
+        alpha, scale = np.empty((steps, lanes, k)), np.ones((steps, lanes))
+        for t, m in enumerate(alive):
+            a = (all_.entry[ids] if t == 0 else alpha[t - 1, :m] @ model.move) * model.emit[x[t, :m]]
             scale[t, :m] = a.sum(1)
-            alpha[t, :m] = a / scale[t, :m, None]
+            np.divide(a, scale[t, :m, None], out=alpha[t, :m])
         loglik += float(np.log(scale).sum())
-        beta = np.ones((lanes, k))
+        final = alpha[_last_steps(alive, lanes), np.arange(lanes)]
+        beta = all_.after[ids] / (final * all_.after[ids]).sum(1, keepdims=True)
         for t in range(steps - 1, -1, -1):
             m = alive[t]
             gamma = alpha[t, :m] * beta[:m]
+            back = model.emit[x[t, :m]] * beta[:m] / scale[t, :m, None]
             if t:  # alpha of the step before holds no beta yet
-                back = model.emit[x[t, :m]] * beta[:m] / scale[t, :m, None]
                 move += model.move * (alpha[t - 1, :m].T @ back)
                 beta[:m] = back @ model.move.T
+            else:
+                move += model.move * (all_.before[ids].T @ back)
             alpha[t, :m] = gamma
         live = np.arange(lanes)[None, :] < alive[:, None]
         flat, weights = x[live], alpha[live]
         for s in range(k):
             emit[:, s] += np.bincount(flat, weights=weights[:, s], minlength=len(emit))
-        start += alpha[0, first].sum(0)
+        start += alpha[0, begins[ids]].sum(0)
     return start, move, emit, loglik
 
 
-def log_likelihoods(model: HMM, docs: list[np.ndarray]) -> np.ndarray:
-    """Natural log of each sequence's exact probability, by the scaled forward recursion.
+def _last_steps(alive: np.ndarray, lanes: int) -> np.ndarray:
+    """The last time at which each lane runs."""
+    return (np.arange(lanes)[None, :] < alive[:, None]).sum(0) - 1
 
-    The first segment of a sequence runs as a vector from the start, each later
-    one as a K x K matrix from every state; the vectors then pass the matrices
-    in turn.
-    """
-    k = len(model.start)
-    heads = [d[:SEGMENT] for d in docs]
-    order = sorted(range(len(docs)), key=lambda i: -len(heads[i]))
-    vector, out = np.zeros((len(docs), k)), np.zeros(len(docs))
-    for at in range(0, len(order), _LANES):
-        ids = np.array(order[at : at + _LANES])
-        v, logs = _run(model, [heads[i] for i in ids], model.start[None, None, :])
-        vector[ids], out[ids] = v[:, 0], logs
-    tails = sorted(((i, at) for i, d in enumerate(docs) for at in range(SEGMENT, len(d), SEGMENT)), key=lambda p: p[1])
-    for at in range(0, len(tails), _LANES // 4):
-        some = sorted(tails[at : at + _LANES // 4], key=lambda p: -min(SEGMENT, len(docs[p[0]]) - p[1]))
-        mats, logs = _run(model, [docs[i][s : s + SEGMENT] for i, s in some], model.move[None])
-        found = dict(zip(some, zip(mats, logs, strict=True), strict=True))
-        for i, s in sorted(some, key=lambda p: p[1]):  # by position: what stands before is done
-            mat, log = found[i, s]
-            v = vector[i] @ mat
-            out[i] += log + np.log(v.sum())
-            vector[i] = v / v.sum()
-    return out
-
-
-def _run(model: HMM, parts: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward over parts sorted longest first. ``first``: (1, R, K), R weights of states before the first emission."""
-    n = np.array([len(p) for p in parts])
-    x = np.zeros((n[0], len(parts)), np.int64)
-    for j, p in enumerate(parts):
-        x[: len(p), j] = p
-    alive = np.searchsorted(-n, -np.arange(1, n[0] + 1), side="right")
-    r, k = first.shape[1:]
-    state, logs = np.repeat(first, len(parts), 0), np.zeros(len(parts))
-    for t in range(n[0]):
-        m = alive[t]
-        s = state[:m] if t == 0 else (state[:m].reshape(-1, k) @ model.move).reshape(m, r, k)
-        s = s * model.emit[x[t, :m]][:, None, :]
-        scale = s.sum((1, 2))
-        state[:m] = s / scale[:, None, None]
-        logs[:m] += np.log(scale)
-    return state, logs
+
+def log_likelihoods(model: HMM, docs: list[np.ndarray]) -> np.ndarray:
+    """Natural log of each sequence's exact probability, by the scaled forward recursion."""
+    if not docs:
+        return np.zeros(0)
+    all_ = _Segments(model, docs, backward=False)
+    return np.add.reduceat(all_.logs, all_.first)
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
@@ -303,18 +334,18 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
 
 def baum_welch(encoded: DataFrame, totals: Totals, states: int = STATES, iterations: int = ITERATIONS) -> HMM:
     """Train on all rows with ``train``; each round sums the partitions' expected counts."""
-    model = HMM.initial(totals.class_tokens, states)
+    model, before = HMM.initial(totals.class_tokens, states), -np.inf
     training = encoded.filter("train").select("classes")
-    size = states + states * states + N_CLASSES * states
+    size = states + states * states + N_CLASSES * states + 1
     for _ in range(iterations):
         now = encoded.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             total = np.zeros(size)
             for batch in batches:
-                for at in range(0, batch.num_rows, 4000):
-                    start, move, emit, _ = expected_counts(now.value, _sequences(batch.column(0).slice(at, 4000)))
-                    total += np.concatenate([start, move.reshape(-1), emit.reshape(-1)])
+                for at in range(0, batch.num_rows, 2000):
+                    start, move, emit, loglik = expected_counts(now.value, _sequences(batch.column(0).slice(at, 2000)))
+                    total += np.concatenate([start, move.reshape(-1), emit.reshape(-1), [loglik]])
             # Sums leave in slices, so that adding them up is spread over tasks.
             padded = np.pad(total, (0, -size % 64)).reshape(-1, 64)
             keep = np.flatnonzero(padded.any(1))
@@ -322,11 +353,16 @@ def baum_welch(encoded: DataFrame, totals: Totals, states: int = STATES, iterati
 
         parts = training.mapInArrow(run, "slice int, sums array<double>")
         sums = parts.groupBy("slice").agg(*(F.sum(F.col("sums")[j]).alias(f"s{j}") for j in range(64))).toPandas()
+        now.unpersist()
         total = np.zeros((-(-size // 64), 64))
         if len(sums):
             total[sums["slice"].to_numpy()] = sums[[f"s{j}" for j in range(64)]].to_numpy()
-        total = total.reshape(-1)[:size]
-        model = model.reestimate(total[:states], total[states : states + states * states].reshape(states, states), total[states + states * states :].reshape(-1, states))
+        *counts, loglik = total.reshape(-1)[:size]
+        counts = np.array(counts)
+        model = model.reestimate(counts[:states], counts[states : states + states * states].reshape(states, states), counts[states + states * states :].reshape(-1, states))
+        if loglik - before < GAIN * totals.tokens:
+            break
+        before = loglik
     return model
 
 
@@ -339,7 +375,9 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
 
     Defined cases: a null, empty or blank text is the end token alone; with no
     training rows all counts are 0 and both scores follow from the smoothing;
-    repeated rows score the same; an empty table gives no rows.
+    repeated rows score the same; an empty table gives no rows; other columns,
+    whatever their names, are ignored. A very long text is a single value and a
+    chunk of its own, so a task needs some ten times its size.
     """
     encoded, totals = encode_documents(docs, train, id_col, text_col)
     model = docs.sparkSession.sparkContext.broadcast(baum_welch(encoded, totals, states, iterations))

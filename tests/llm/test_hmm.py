@@ -31,7 +31,7 @@ def plain_log(m, x):
 
 def test_exact_likelihood():
     m, rng = model(), np.random.default_rng(1)
-    docs = [rng.integers(0, 5, n).astype(np.uint16) for n in (1, 2, 255, 256, 257, 512, 513, 3000)]
+    docs = [rng.integers(0, 5, n).astype(np.uint16) for n in (1, 2, 1023, 1024, 1025, 2048, 2049, 9000)]
     assert H.log_likelihoods(m, docs) == pytest.approx([plain_log(m, d) for d in docs], rel=1e-12)
     assert H.log_likelihoods(m, docs[:1]) == pytest.approx([plain_log(m, docs[0])])
 
@@ -83,11 +83,54 @@ def test_counts_on_messy_rows(messy, chunk_bytes):
     assert all(len(r.classes) == 2 * r.n_tokens for r in rows)
 
 
-def test_word_probabilities_sum_to_one(messy):
-    _, totals = H.encode_documents(messy, F.lit(True))
-    used = totals.class_distinct > 0
-    assert ((totals.class_tokens + totals.class_distinct + 1)[used] >= totals.class_distinct[used] + 1).all()
-    assert totals.class_tokens.sum() == totals.tokens and totals.class_distinct.sum() == totals.distinct
+def test_expected_counts_do_not_depend_on_segments(monkeypatch):
+    m, rng = model(), np.random.default_rng(6)
+    docs = [rng.integers(0, 5, n).astype(np.uint16) for n in (1000, 1, 333, 64, 65)]
+    monkeypatch.setattr(H, "SEGMENT", 10_000)
+    whole = H.expected_counts(m, docs)
+    assert whole[1].sum() == pytest.approx(sum(len(d) - 1 for d in docs)) and whole[2].sum() == pytest.approx(sum(map(len, docs)))
+    for segment, cells in ((64, 1 << 18), (7, 40)):
+        monkeypatch.setattr(H, "SEGMENT", segment)
+        monkeypatch.setattr(H, "_CELLS", cells)
+        for got, want in zip(H.expected_counts(m, docs), whole, strict=True):
+            assert np.abs(np.asarray(got) - want).max() < 1e-9
+        assert H.log_likelihoods(m, docs).sum() == pytest.approx(whole[3], rel=1e-12)
+
+
+def test_word_probabilities_sum_to_one(spark, messy):
+    """The sum of P(word | class) over a class's words and one unknown word, and of P(class | state) over classes, is 1."""
+    encoded, totals = H.encode_documents(messy, F.lit(True))
+    counts = Counter(w for _, t in MESSY for w in words(t))
+    assert totals.class_tokens.sum() == totals.tokens == sum(counts.values()) and totals.class_distinct.sum() == totals.distinct == len(counts)
+    df = spark.createDataFrame([(w.decode(), n) for w, n in counts.items()], "word string, n long")
+    of = df.select("n", H.word_class(F.col("word"), F.col("n"), totals.tokens).alias("class")).collect()
+    total = np.zeros(H.N_CLASSES)
+    for r in of:
+        total[r["class"]] += (r.n + 1) / (totals.class_tokens[r["class"]] + totals.class_distinct[r["class"]] + 1)
+    unknown = 1 / (totals.class_tokens + totals.class_distinct + 1)
+    assert total + unknown == pytest.approx(np.ones(H.N_CLASSES))
+    assert H.HMM.initial(totals.class_tokens).emit.sum(0) == pytest.approx(np.ones(H.STATES))
+
+
+def test_scores_by_brute_force(spark, messy):
+    """The whole query on a few rows: counts, classes and the forward recursion in plain Python."""
+    train = lambda i: i is not None and i % 2 == 1
+    encoded, totals = H.encode_documents(messy, F.col("doc_id") % 2 == 1)
+    m = H.baum_welch(encoded, totals, iterations=2)
+    counts = Counter(w for i, t in MESSY if train(i) for w in words(t))
+    every = sorted({w for _, t in MESSY for w in words(t)})
+    df = spark.createDataFrame([(w.decode(), counts[w]) for w in every], "word string, n long")
+    of = {r.word.encode(): r["class"] for r in df.select("word", H.word_class(F.col("word"), F.col("n"), totals.tokens).alias("class")).collect()}
+    class_total = Counter()
+    for w in every:
+        class_total[of[w]] += counts[w] + (counts[w] > 0)
+    want = []
+    for i, t in MESSY:
+        own = words(t)
+        word_logs = sum(np.log10((counts[w] + 1) / (class_total[of[w]] + 1)) for w in own)
+        want.append((str(i), round(plain_log(m, [of[w] for w in own]) / np.log(10) + word_logs, 6)))
+    rows = H.score_documents(messy, F.col("doc_id") % 2 == 1, iterations=2).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in rows) == sorted(want)
 
 
 def test_no_training_rows_and_no_rows(messy, none):
