@@ -65,14 +65,79 @@ def test_empty(none):
     assert P.pack_documents(none, queries.tokenizer_path()).count() == 0
 
 
+def triplets(n, capacity, seed=0):
+    """Sizes of which three each fill a sequence: best-fit decreasing pairs them badly."""
+    rng, out = np.random.default_rng(seed), []
+    for _ in range(n):
+        a = int(rng.integers(int(0.38 * capacity), int(0.49 * capacity)))
+        b = int(rng.integers(capacity // 4, (capacity - a) // 2 + 1))
+        out += [a, b, capacity - a - b]
+    return rng.permutation(np.array(out))
+
+
+def best_fit_decreasing(sizes, capacity=4096):
+    return P.best_fit(sizes, np.argsort(-sizes, kind="stable"), np.full(len(sizes), -1, np.int32), capacity)
+
+
 def test_genetic_steps_keep_every_piece():
     rng = np.random.default_rng(0)
-    sizes = rng.integers(1, 4096, 500)
-    a, b = P.evolve(sizes, [], 4096, 1)[:2]
-    for child in (P.crossover(sizes, a, b, 4096, rng), P.mutate(sizes, a, 4096, rng), *P.evolve(sizes, [a, b], 4096, 2)):
-        assert (child >= 0).all() and np.bincount(child, weights=sizes).max() <= 4096
-    first = P.best_fit(sizes, np.argsort(-sizes), np.full(500, -1, np.int32), 4096)
-    assert P.fitness(sizes, P.evolve(sizes, [first], 4096, 3)[0], 4096) >= P.fitness(sizes, first, 4096)
+    for sizes in (rng.integers(1, 4096, 500), triplets(100, 4096), np.array([4000])):
+        a, b = P.evolve(sizes, [], 4096, 1)[:2]
+        for child in (P.breed(sizes, a, b, 4096, rng), *P.evolve(sizes, [a, b], 4096, 2)):
+            assert (child >= 0).all() and np.bincount(child, weights=sizes).max() <= 4096
+            assert set(child.tolist()) == set(range(child.max() + 1))
+        first = best_fit_decreasing(sizes)
+        assert P.fitness(sizes, P.evolve(sizes, [first], 4096, 3)[0], 4096) >= P.fitness(sizes, first, 4096)
+
+
+def test_crossover_injects_whole_sequences():
+    sizes, rng = triplets(60, 4096), np.random.default_rng(4)
+    a = best_fit_decreasing(sizes)
+    b = np.zeros(len(sizes), np.int32)
+    whole = P.evolve(sizes, [], 4096, 9)[-1]
+    b[:] = whole
+    fill = np.bincount(b, weights=sizes)
+    child = P.crossover(sizes, a, b, 4096, rng)
+    assert (child < 0).any() and set(child[child >= 0].tolist()) == set(range(child.max() + 1))
+    groups = {frozenset(np.flatnonzero(child == s).tolist()) for s in range(child.max() + 1)}
+    from_b = groups & {frozenset(np.flatnonzero(b == s).tolist()) for s in np.flatnonzero(fill >= P.WELL_FILLED * 4096)}
+    from_a = groups & {frozenset(np.flatnonzero(a == s).tolist()) for s in range(a.max() + 1)}
+    assert from_b and groups == from_a | from_b
+
+
+def test_crossover_runs_and_beats_best_fit_decreasing(monkeypatch):
+    calls, crossover = [], P.crossover
+    monkeypatch.setattr(P, "crossover", lambda *a: calls.append(1) or crossover(*a))
+    small = np.random.default_rng(1).integers(1, 900, 400)
+    P.evolve(small, [], 4096, 1)
+    assert len(calls) >= P.POPULATION  # even where best-fit decreasing has reached the bound already
+    sizes = triplets(60, 4096)
+    found = P.evolve(sizes, [], 4096, 1)[0]
+    assert len(set(found.tolist())) < len(set(best_fit_decreasing(sizes).tolist())) - 2
+
+
+def test_migration_brings_an_elite(spark):
+    """Two islands of the same pieces, one with a far better packing: after an epoch both have it or a better one."""
+    sizes = triplets(40, 4096)
+    good = P.evolve(sizes, [], 4096, 1)
+    for e in range(2, 5):
+        good = P.evolve(sizes, good, 4096, e)
+    bad = np.arange(len(sizes), dtype=np.int32)  # every piece alone
+    uids = np.arange(len(sizes), dtype=np.int64)
+    rows = [(0, k, uids.tobytes(), sizes.astype(np.int64).tobytes(), [p.astype(np.int32).tobytes()]) for k, p in ((0, good[0]), (1, bad))]
+    islands = spark.createDataFrame([(a, i, bytearray(u), bytearray(s), [bytearray(x) for x in p]) for a, i, u, s, p in rows], P._ISLAND)
+    moved = {r.island: [np.frombuffer(p, np.int32) for p in r.population] for r in P._migrate(islands).collect()}
+    assert len(moved[1]) == 2 and np.array_equal(moved[1][1], good[0]) and np.array_equal(moved[0][1], bad)
+    after = P.evolve(sizes, list(moved[1]), 4096, 7)[0]
+    alone = P.evolve(sizes, [bad], 4096, 7)[0]
+    assert P.fitness(sizes, after, 4096) >= P.fitness(sizes, good[0], 4096) >= P.fitness(sizes, alone, 4096)
+
+
+def test_query_form_on_triplets(spark):
+    sizes = triplets(50, 4096, 3)
+    pieces = spark.createDataFrame([(i, int(s)) for i, s in enumerate(sizes)], "uid long, length long")
+    placed = P.pack_pieces(pieces, 4096).join(pieces, "uid").collect()
+    assert len(check(placed, 4096)) < len(set(best_fit_decreasing(sizes).tolist())) - 2
 
 
 def test_packs_near_the_bound_over_many_islands(spark):
