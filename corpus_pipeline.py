@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, table
+from millrace.llm.common import free_names, materialize, release, table, written
 from millrace.llm.decontam import without_contaminated
 from millrace.llm.linededup import dedup_lines
 from millrace.llm.nearcopies import one_of_each
@@ -20,7 +20,8 @@ from millrace.llm.queries import quality_model, tokenizer_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts. It learns from all documents' labels of two folds of three."""
-    return score_quality(docs, quality_model(spark, sf_dir)).filter("quality_score >= 0.5").select(docs.columns)
+    (score,) = free_names(docs, "quality_score")
+    return score_quality(docs, quality_model(spark, sf_dir), score_col=score).filter(F.col(score) >= 0.5).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path(), carry={"ids_crc32": F.crc32("ids")})
 
 
-STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: A trained classifier and tokenised packing have no SQL form; tests hold run() against a plain version.
 ORACLE_SQL = None
@@ -51,9 +58,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's result over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), written()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, f"pipeline-{name}")
+            release(spark, mark, docs)  # what led to this stage's result
     return docs
