@@ -42,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
-from .licenses import FOLD
+from .common import free_names, materialize, slices, text_hash
+from .words import FOLD, longest_common_subsequence
 
 PASSAGE = 32
 STEP = 16
@@ -96,21 +96,6 @@ def find_written(item: str, text: str) -> int:
     return -1
 
 
-def longest_common_subsequence(a: list[int], b: list[int]) -> int:
-    """Its length, by bit-parallel rows (Hyyro's form); ``a``'s positions are the bits."""
-    masks: dict[int, int] = defaultdict(int)
-    for i, w in enumerate(a):
-        masks[w] |= 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for w in b:
-        match = masks.get(w, 0)
-        if match:
-            both = row & match
-            row = ((row + both) | (row - both)) & full
-    return len(a) - row.bit_count()
-
-
 @dataclass
 class Item:
     id: int
@@ -158,6 +143,16 @@ class Benchmark:
         return np.array(rows, np.int64).reshape(-1, PASSAGE), np.array(owner, np.int64), np.array(start, np.int64)
 
 
+    def members(self) -> np.ndarray:
+        """Item number times (vocabulary + 1) plus word, of every word of every item, sorted."""
+        return np.unique(np.concatenate([k * (self.size + 1) + np.array(item.codes, np.int64) for k, item in enumerate(self.items)]))
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of ``wanted`` are in the sorted ``keys``."""
+    return keys[np.minimum(keys.searchsorted(wanted), len(keys) - 1)] == wanted
+
+
 def _windows(codes: np.ndarray, none: int) -> np.ndarray:
     """(windows, PASSAGE) codes at every ``STEP``-th word, padded with ``none``."""
     n = max(1, -(-max(len(codes) - (PASSAGE - STEP), 1) // STEP))
@@ -258,19 +253,28 @@ class Space:
 def _passing(batch: pa.RecordBatch, column: int, space: Space, dtype: str, every: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Windows whose energy reaches the least: the document's row, the window's number, its codes, its energy."""
     none = len(space.idf) - 1
-    held, size = [], 0
+    held: list[tuple[int, int, np.ndarray]] = []  # a document's row, the number of its first window here, windows
+
+    def flush() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        rows = np.concatenate([w for _, _, w in held])
+        energy = _energy(rows, space.idf)
+        good = np.flatnonzero(energy >= space.least)
+        if len(good):
+            of = np.repeat([d for d, _, _ in held], [len(w) for _, _, w in held])
+            number = np.concatenate([(first + np.arange(len(w))) * every for _, first, w in held])
+            yield of[good], number[good], rows[good], energy[good]
+
+    size = 0
     for k, codes in enumerate(_unpack(batch.column(column), dtype)):
-        held.append((k, _windows(codes, none)[::every]))
-        size += len(held[-1][1])
-        if size >= _WINDOWS or k == batch.num_rows - 1:
-            rows = np.concatenate([w for _, w in held])
-            energy = _energy(rows, space.idf)
-            good = np.flatnonzero(energy >= space.least)
-            if len(good):
-                of = np.repeat([d for d, _ in held], [len(w) for _, w in held])
-                number = np.concatenate([np.arange(len(w)) * every for _, w in held])
-                yield of[good], number[good], rows[good], energy[good]
-            held, size = [], 0
+        windows = _windows(codes, none)[::every]
+        for at in range(0, len(windows), _WINDOWS):
+            held.append((k, at, windows[at : at + _WINDOWS]))
+            size += len(held[-1][2])
+            if size >= _WINDOWS:
+                yield from flush()
+                held, size = [], 0
+    if held:
+        yield from flush()
 
 
 def latent_space(coded: DataFrame, bench: Benchmark, n_docs: int, latent: int = LATENT, seed: int = 9) -> Space:
@@ -351,7 +355,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    wanted = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tid"), F.col(text_col).alias("text"))
+    wanted = docs.select(F.col(id_col).alias("doc_id"), text_hash(F.col(text_col)).alias("tid"), F.col(text_col).alias("text"))
     items = benchmark.filter(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull()).select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_docs, n_blocks = docs.count(), max(1, -(-size // BLOCK_BYTES))
@@ -382,9 +386,7 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
         target = _project(own, weighted)
         length = np.maximum(np.linalg.norm(target, axis=1), 1e-9)
         target = unit(target).T
-        member = np.zeros((len(bench.items), bench.size + 1), bool)
-        for k, item in enumerate(bench.items):
-            member[k, item.codes] = True
+        member = bench.members()
         few = IN_WINDOW * (own < bench.size).sum(1)
         squares, own_energy = np.square(space.idf), _energy(own, space.idf)
         for batch in slices(batches, 2000):
@@ -398,7 +400,7 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
                     cosine = latent[low : low + 512] @ target
                     w, b = np.nonzero(cosine >= np.minimum(COSINE, CONTAINED * length / spread[low : low + 512]))
                     # Words of the window that the item holds: an upper bound on what is in common.
-                    held = member[owner[b][:, None], rows[low + w]]
+                    held = _among(member, owner[b][:, None] * (bench.size + 1) + rows[low + w])
                     good = np.flatnonzero(held.sum(1) >= few[b])
                     w, b, held = w[good], b[good], held[good]
                     good = (held * squares[rows[low + w]]).sum(1) >= ENERGY * own_energy[b]
@@ -446,6 +448,7 @@ def _search_short(docs: DataFrame, bench: Benchmark, kind: str) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found, unchanged."""
-    hits = materialize(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid")).distinct(), "decontam-hits")
-    tid = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(hits, F.col(id_col).eqNullSafe(F.col("__id")) & (tid == F.col("__tid")), "left_anti")
+    own_id, own_tid = free_names(docs, "hit_id", "hit_tid")
+    hits = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(own_id), F.col("tid").alias(own_tid)).distinct()
+    hits = materialize(hits, "decontam-hits")
+    return docs.join(hits, F.col(id_col).eqNullSafe(F.col(own_id)) & (text_hash(F.col(text_col)) == F.col(own_tid)), "left_anti")

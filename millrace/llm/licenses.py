@@ -1,21 +1,25 @@
 """Licence scans: a positional index of rare licence words.
 
-The words of the licence notices below are weighed by their document frequency
-in the scanned corpus (one counting pass over every text). Each notice is then
-indexed by its ``ANCHORS`` rarest words: postings of (notice, position in the
-notice). A file is tokenised once; its licence words of highest IDF are looked
-up, postings are intersected by relative position (word position in the file
-minus position in the notice must agree), and each alignment that enough
-anchors vote for is verified: the notice's key phrases must stand at their
-places and its score is the part of its words found in place.
-
-The index and the frequencies cover the notices' own vocabulary, a fixed few
-hundred words, so what every executor receives does not grow with the corpus.
+The words of the templates (whole licence texts and the notices below) are
+weighed by their document frequency in the scanned corpus (one counting pass
+over every text). Each template is then indexed by its rarest words: postings of
+(template, position in the template). A file is tokenised once; its licence
+words of highest IDF are looked up, and postings are intersected by relative
+position (word position in the file minus position in the template): hits of a
+template whose relative positions agree, but for a quarter of its length that
+words put in or left out may shift them, are one place. A place that enough
+different rare words vote for is verified: the template's key phrases must stand
+there word for word, and its score is the part of its words found there in
+order.
+
+The index and the frequencies cover the templates' own vocabulary, some hundreds
+of words, so what every executor receives does not grow with the corpus.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
+from .license_texts import TEXTS
+from .words import FOLD, longest_common_subsequence
 
 #: Fixed values: (label, notice, key phrases that must stand in place).
 NOTICES = [
@@ -47,20 +53,20 @@ NOTICES = [
 #: Phrases that count as base evidence, and their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
+TEMPLATES = [*NOTICES, *TEXTS]
+
+#: Rare words that index a template: so many, or one in ``WORDS_PER_ANCHOR`` of its words if that is more.
 ANCHORS = 4
+WORDS_PER_ANCHOR = 12
 MIN_SCORE = 0.6
 
-#: A-Z to lower case; every other ASCII byte that is no letter or digit to a space.
-FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-
-
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(FOLD).split()
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int, dict[bytes, int]]:
     """Number of texts, and of those that hold each licence word."""
-    vocabulary = frozenset(w for _, notice, _ in NOTICES for w in notice.encode().split())
+    vocabulary = frozenset(w for _, text, _ in TEMPLATES for w in words_of(text))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df: Counter = Counter()
@@ -76,31 +82,30 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int,
 
 
 def build_index(n_docs: int, df: dict[bytes, int]) -> tuple[dict[bytes, float], dict[bytes, list[tuple[int, int]]]]:
-    """IDF of the licence words; postings of each notice's rarest words."""
-    notices = [notice.encode().split() for _, notice, _ in NOTICES]
-    idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) for notice in notices for w in notice}
+    """IDF of the licence words; postings of each template's rarest words."""
+    templates = [words_of(text) for _, text, _ in TEMPLATES]
+    idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) for words in templates for w in words}
     postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-    for k, notice in enumerate(notices):
-        rarest = sorted(range(len(notice)), key=lambda i: (-idf[notice[i]], notice[i], i))[:ANCHORS]
+    for k, words in enumerate(templates):
+        rarest = sorted(range(len(words)), key=lambda i: (-idf[words[i]], words[i], i))[: max(ANCHORS, len(words) // WORDS_PER_ANCHOR)]
         for i in rarest:
-            postings[notice[i]].append((k, i))
+            postings[words[i]].append((k, i))
     return idf, dict(postings)
 
 
+def _stands(phrase: list[bytes], words: list[bytes]) -> bool:
+    return any(words[i : i + len(phrase)] == phrase for i, w in enumerate(words) if w == phrase[0])
+
+
 class Scanner:
     def __init__(self, idf: dict[bytes, float], postings: dict[bytes, list[tuple[int, int]]]) -> None:
         self.postings, self.rare = postings, frozenset(postings)
-        self.notices = [notice.encode().split() for _, notice, _ in NOTICES]
-        self.need = [min(2, len(notice)) for notice in self.notices]
-        self.keys = []
-        for (_, notice, phrases), own in zip(NOTICES, self.notices, strict=True):
-            at = []
-            for phrase in phrases:
-                p = phrase.encode().split()
-                at += [(i, p) for i in range(len(own) - len(p) + 1) if own[i : i + len(p)] == p]
-            self.keys.append(at)
-        self.base = [([w.encode() for w in phrase.split()], label) for phrase, label in BASE]
-        self.base_words = frozenset(p[0] for p, _ in self.base)
+        self.templates = [words_of(text) for _, text, _ in TEMPLATES]
+        anchors = Counter(k for own in postings.values() for k, _ in own)
+        self.need = [min(len(words), max(2, anchors[k] // 3)) for k, words in enumerate(self.templates)]
+        self.phrases = [[words_of(p) for p in phrases] for _, _, phrases in TEMPLATES]
+        self.key_words = [frozenset(w for p in phrases for w in p) for phrases in self.phrases]
+        self.base = [(words_of(phrase), label) for phrase, label in BASE]
 
     def base_hits(self, words: list[bytes], present: set[bytes]) -> list[tuple[int, str]]:
         hits = []
@@ -116,23 +121,47 @@ class Scanner:
                     pass
         return hits
 
-    def matches(self, words: list[bytes], present: set[bytes]) -> list[tuple[int, int, float]]:
-        """(start, notice, score) of every verified alignment."""
+    def places(self, words: list[bytes], present: set[bytes]) -> Iterator[tuple[int, list[int]]]:
+        """Of each template the relative positions of the places that enough different rare words vote for, those with
+        the most votes first: a place is a span of a quarter of the template's length, its position the one that most
+        of the votes agree on."""
         rare = self.rare & present
-        if not rare:
-            return []
-        votes: Counter = Counter()
-        for at, w in enumerate(words):
-            if w in rare:
-                for k, i in self.postings[w]:
-                    votes[k, at - i] += 1
+        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        if rare:
+            for at, w in enumerate(words):
+                if w in rare:
+                    for k, i in self.postings[w]:
+                        if present.issuperset(self.key_words[k]):
+                            hits[k].append((at - i, i))
+        for k, own in hits.items():
+            own.sort()
+            slack, found, high = len(self.templates[k]) // 4, {}, 0
+            for low, (start, _) in enumerate(own):
+                while high < len(own) and own[high][0] <= start + slack:
+                    high += 1
+                anchors = len({i for _, i in own[low:high]})
+                if anchors >= self.need[k]:
+                    votes = Counter(s for s, _ in own[low:high])
+                    best = min(votes, key=lambda s: (-votes[s], s))
+                    found[best] = max(found.get(best, 0), anchors + votes[best])
+            yield k, sorted(found, key=lambda s: (-found[s], s))
+
+    def matches(self, words: list[bytes], present: set[bytes]) -> list[tuple[int, int, float]]:
+        """(start, template, score) of every verified place; of places that overlap the one with the most votes."""
         found = []
-        for (k, start), n in votes.items():
-            own = self.notices[k]
-            if n >= self.need[k] and all(start + i >= 0 and words[start + i : start + i + len(p)] == p for i, p in self.keys[k]):
-                same = sum(words[start + i] == w for i, w in enumerate(own) if 0 <= start + i < len(words))
-                if same >= MIN_SCORE * len(own):
-                    found.append((start, k, same / len(own)))
+        for k, starts in self.places(words, present):
+            own, taken = self.templates[k], []
+            slack = len(own) // 4
+            for start in starts:
+                near = bisect_left(taken, start)
+                if any(abs(start - t) < 0.9 * len(own) for t in taken[max(0, near - 1) : near + 1]):
+                    continue
+                region = words[max(0, start - slack) : max(0, start + len(own) + slack)]
+                if all(_stands(p, region) for p in self.phrases[k]):
+                    score = longest_common_subsequence(own, region) / len(own)
+                    if score >= MIN_SCORE:
+                        insort(taken, start)
+                        found.append((start, k, score))
         return sorted(found)
 
     def scan(self, text: str | None) -> dict:
@@ -146,9 +175,9 @@ class Scanner:
             "first_word": min(at, default=None),
             "last_word": max(at, default=None),
             "base_labels": ",".join(sorted({label for _, label in hits})),
-            "labels": ",".join(sorted({label for _, label in hits} | {NOTICES[k][0] for _, k, _ in found})),
+            "labels": ",".join(sorted({label for _, label in hits} | {TEMPLATES[k][0] for _, k, _ in found})),
             "score": max([1.0] * bool(hits) + [s for _, _, s in found], default=0.0),
-            "spans": [{"label": NOTICES[k][0], "start": start, "length": len(self.notices[k]), "score": s} for start, k, s in found],
+            "spans": [{"label": TEMPLATES[k][0], "start": start, "length": len(self.templates[k]), "score": s} for start, k, s in found],
         }
 
 
@@ -163,13 +192,15 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Licence findings, one row per input row.
 
     ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
-    score, spans``; ``spans`` lists the verified notices with the word they
+    score, spans``; ``spans`` lists the verified templates with the word they
     start at. Base phrases count wherever their words stand consecutively,
     overlaps included.
 
     Defined cases: a null text is empty: no words, labels empty, score 0;
-    repeated rows are scanned each for itself; an empty table gives no rows.
-    A start may be negative where a text begins inside a notice.
+    repeated rows are scanned each for itself; an empty table gives no rows;
+    other columns, whatever their names, are ignored. A start may be negative
+    where a text begins inside a template. A very long text takes some ten times
+    its size while its words are looked up.
     """
     idf, postings = build_index(*document_frequencies(docs, text_col))
     kind = docs.schema[id_col].dataType.simpleString()

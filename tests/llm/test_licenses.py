@@ -42,12 +42,55 @@ def test_base_against_plain(scanner):
         assert base(scanner.scan(text)) == plain(text)
 
 
-@pytest.mark.parametrize("k", range(len(N.NOTICES)))
-def test_every_notice_is_found(scanner, k):
-    label, notice, _ = N.NOTICES[k]
-    r = scanner.scan(f"some words before. {notice.upper()}, and after")
+@pytest.mark.parametrize("k", range(len(N.TEMPLATES)))
+def test_every_template_is_found(scanner, k):
+    label, text, _ = N.TEMPLATES[k]
+    r = scanner.scan(f"some words before. {text.upper()}, and after")
     assert label in r["labels"].split(",") and r["score"] == 1
-    assert any(s["label"] == label and s["start"] == 3 for s in r["spans"])
+    assert any(s["label"] == label and s["start"] == 3 and s["score"] == 1 for s in r["spans"])
+
+
+@pytest.mark.parametrize("k", range(len(N.NOTICES), len(N.TEMPLATES)))
+def test_texts_with_words_put_in_and_left_out(scanner, k):
+    """Insertions shift what follows; the place is still one, and scored by the words in order."""
+    label, text, phrases = N.TEMPLATES[k]
+    rng, words = random.Random(k), [w.decode() for w in N.words_of(text)]
+    keys = [w.decode() for p in phrases for w in N.words_of(p)]
+    kept = [w for w in words if w in keys or rng.random() > 0.1]
+    spots = {i for p in phrases for i in range(len(kept)) if kept[i : i + len(p.split())] == p.split() for i in range(i, i + len(p.split()))}
+    changed = [x for i, w in enumerate(kept) for x in ([w] if i in spots or rng.random() > 0.06 else [f"own{i}", w])]
+    r = scanner.scan("Copyright 2020 by somebody " + " ".join(changed) + " and then some code")
+    (own,) = (s["score"] for s in r["spans"] if s["label"] == label and s["length"] == len(words))
+    assert label in r["labels"].split(",") and 0.6 <= own < 1
+    want = N.longest_common_subsequence(N.words_of(text), N.words_of(" ".join(changed))) / len(words)
+    assert own == pytest.approx(want)
+
+
+def plain_matches(text):
+    """Every template at every place of the text, without an index."""
+    words, out = N.words_of(text), set()
+    for label, template, phrases in N.TEMPLATES:
+        own = N.words_of(template)
+        slack = len(own) // 4
+        for at in range(-slack, len(words)):
+            region = words[max(0, at - slack) : at + len(own) + slack]
+            if all(N._stands(N.words_of(p), region) for p in phrases) and N.longest_common_subsequence(own, region) >= N.MIN_SCORE * len(own):
+                out.add(label)
+                break
+    return out
+
+
+def test_labels_against_every_place(spark):
+    """The query's labels and score on the documents that hold any key word of a licence, by brute force."""
+    sf = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r for r in queries.op9_license_scan(spark, sf).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    keyed = [i for i, t in texts.items() if {b"license", b"licensed", b"permission", b"reserved", b"redistribution"} & set(N.words_of(t))]
+    assert len(keyed) > 5
+    for i in keyed:
+        base = set(rows[i].base_labels.split(",")) - {""}
+        assert set(rows[i].labels.split(",")) - {""} == base | plain_matches(texts[i]), i
+    assert all(rows[i].labels == rows[i].base_labels == "" and rows[i].score == 0 for i in texts if i not in keyed)
 
 
 def test_verification(scanner):
