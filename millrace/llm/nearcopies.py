@@ -1,11 +1,16 @@
 """Near copies by similarity: documents that share ``LEAST`` of their word shingles (Jaccard, of sets).
 
-A document is the set of its shingles of ``WIDTH`` words. Min-hashes of the set,
-``ROWS`` to a band, propose pairs: two sets of similarity s meet in one of the
-``BANDS`` bands but for (1 - s^ROWS)^BANDS of the cases, 5e-8 at 0.8. Proposed
-pairs are verified on the whole sets, so no other pair is linked. Equal sets
-are one node. A bucket's distinct sets are paired by a join, which is bounded in
-memory and quadratic in the size of that bucket alone.
+A document is the set of its shingles of ``WIDTH`` words; equal sets are one
+node. Pairs are proposed by the SimHash operator, whose covering tables find
+every two fingerprints of these shingles within its radius. Sets of similarity
+0.8 mostly differ in more bits than any affordable radius, so min-hashes
+propose the rest: ``ROWS`` to a band, two sets of similarity s meet in one of
+the ``BANDS`` bands but for (1 - s^ROWS)^BANDS of the cases, 5e-8 at 0.8. Every
+proposed pair is verified on the whole sets, so no other pair is linked.
+
+No bucket of a band gives all its pairs. First each member is compared with one
+of them, its pivot; that joins groups of copies, however large. Only members
+that are then in different components are compared with each other.
 """
 
 from __future__ import annotations
@@ -18,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
-from .simhash import _tid, components
+from .common import materialize, release, slices, text_hash, written
+from .simhash import components, keep_one, links, majority
 
 WIDTH = 5
 LEAST = 0.8
@@ -32,12 +37,16 @@ _XOR = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
 _TIMES = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
 
 
-def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted hashes of the text's distinct shingles (words as in ``simhash.fingerprint``; a shorter text is one shingle)."""
+def shingle_hashes(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Hashes of the text's shingles, in order (words as in ``simhash.fingerprint``; a shorter text is one shingle)."""
     words = (text or "").encode().lower().split()
     k = min(width, len(words))
-    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + k])) for i in range(len(words) - k + 1)] if words else []
-    return np.unique(np.array(hashes, np.uint64))
+    return np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + k])) for i in range(len(words) - k + 1)] if words else [], np.uint64)
+
+
+def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted hashes of the text's distinct shingles."""
+    return np.unique(shingle_hashes(text, width))
 
 
 def bands(shingles: np.ndarray) -> np.ndarray:
@@ -55,42 +64,63 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, tid, node`` (a hash of the set), ``n`` (its size), ``bands`` for every row."""
+    """``doc_id, tid, node`` (a hash of the set), ``n`` (its size), ``fp`` (the SimHash of its shingles), ``bands`` for
+    every row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, fps, keys = [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text)
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes()))
                 sizes.append(len(own))
+                fps.append(majority(own))
                 keys.append(bands(own).view(np.int64))
-            columns = [batch.column(0), batch.column(2), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "node", "n", "bands"])
+            signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, fps)]
+            columns = [batch.column(0), batch.column(2), signed[0], pa.array(sizes, pa.int64()), signed[1], pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "node", "n", "fp", "bands"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_col, _tid(F.col(text_col))).mapInArrow(run, f"doc_id {kind}, tid long, node long, n long, bands array<long>")
+    out = f"doc_id {kind}, tid long, node long, n long, fp long, bands array<long>"
+    return docs.select(F.col(id_col).alias("doc_id"), text_col, text_hash(F.col(text_col)).alias("tid")).mapInArrow(run, out)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The ``pairs`` (``a, b``) whose sets are as similar as ``least``; ``texts``: ``node, text``, each node once."""
+def _shingles(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """``node, shingles`` (the sorted set, eight bytes each) of the ``wanted`` nodes (``node, tid``)."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
 
+    texts = docs.select(F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("text_tid"))
+    texts = texts.join(wanted, F.col("text_tid") == F.col("tid")).select("node", "text").dropDuplicates(["node"])  # texts of one hash are one text
+    return texts.mapInArrow(run, "node long, shingles binary")
+
+
+def _verified(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose sets are as similar as ``least``."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             near = [similarity(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             keep = pa.array(np.flatnonzero(near), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 
-    own = materialize(texts.select("node", "text").mapInArrow(sets, "node long, shingles binary"), "copies-sets")
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """``a, b``: nodes that connect what fingerprints within the SimHash operator's radius connect."""
+    heads = nodes.groupBy("fp").agg(F.min("node").alias("head"))
+    found = links(heads.select("fp"))
+    ends = [heads.select(F.col("fp").alias(f"{x}_fp"), F.col("head").alias(f"{x}_node")) for x in "ab"]
+    near = found.join(ends[0], F.col("a") == F.col("a_fp")).join(ends[1], F.col("b") == F.col("b_fp")).select("a_node", "b_node")
+    same = nodes.join(heads.select(F.col("fp").alias("h_fp"), "head"), F.col("fp") == F.col("h_fp")).filter("node <> head").select("head", "node")
+    return near.union(same).toDF("a", "b")
+
+
 def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, tid, node, component_id, keeper`` for every row.
 
@@ -100,21 +130,43 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
 
     Defined cases: null, empty and blank texts are near copies of each other
     alone; a null id belongs to a component but never names one, unless there is
-    no other id (then null); an empty table gives no rows.
+    no other id (then null); an empty table gives no rows; other columns,
+    whatever their names, are ignored. A very long text takes some ten times its
+    size while its set is made.
     """
+    mark, key = written(), ["band", "value"]
     rows = materialize(_sets(docs, id_col, text_col), "copies")
-    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n")), "copies-nodes")
-    dealt = rows.select("node", "n", F.posexplode("bands").alias("band", "value")).distinct()
-    a, b = (dealt.select("band", "value", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    close = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(least - 1e-9)  # sets of other sizes are not as similar
-    pairs = materialize(a.join(b, ["band", "value"]).filter((F.col("a") < F.col("b")) & close).select("a", "b").distinct(), "copies-pairs")
-    wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("tid").alias("__tid"))
-    texts = docs.select(F.col(text_col).alias("text"), _tid(F.col(text_col))).join(wanted, F.col("tid") == F.col("__tid")).dropDuplicates(["node"])
-    found = materialize(_verified(pairs, texts, least), "copies-links")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("bands").alias("bands"))
+    nodes = materialize(nodes, "copies-nodes")
+    dealt = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
+    buckets = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n")).alias("pivot")).filter("members > 1")
+    buckets = materialize(buckets.select(F.col("band").alias("b_band"), F.col("value").alias("b_value"), "pivot"), "copies-buckets")
+    met = dealt.join(buckets, (F.col("band") == F.col("b_band")) & (F.col("value") == F.col("b_value"))).select(*key, "node", "n", "pivot")
+    met = materialize(met, "copies-met")
+
+    close = lambda x, y: F.least(x, y) >= F.greatest(x, y) * F.lit(least - 1e-9)  # noqa: E731 - sets of other sizes are not as similar
+    star = met.filter((F.col("node") != F.col("pivot.node")) & close(F.col("n"), F.col("pivot.n"))).select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+    ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    first = materialize(star.union(_by_fingerprint(nodes)).select(*ordered).distinct(), "copies-pairs")
+    some = met.select("node").union(first.select(F.explode(F.array("a", "b")))).distinct()
+    sets = materialize(_shingles(docs, nodes.join(some, "node", "left_semi").select("node", "tid"), text_col), "copies-sets")
+    found = materialize(_verified(first, sets, least), "copies-links")
+
     # A node's label: its smallest document (nodes without one come last), then its set, so that labels differ.
     label = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("node").alias("node"))
-    comp = components(found, nodes.select("node", label.alias("label")))
+    labels = nodes.select("node", label.alias("label"))
+    now = materialize(components(found, labels).select(F.col("node").alias("of"), F.col("label.node").alias("root")), "copies-roots")
+    placed = materialize(met.join(now, met.node == now.of).select(*key, "node", "n", "root"), "copies-placed")
+    open_ = placed.groupBy(*key).agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(F.col("band").alias("o_band"), F.col("value").alias("o_value"))
+    rest = materialize(placed.join(open_, (F.col("band") == F.col("o_band")) & (F.col("value") == F.col("o_value")), "left_semi"), "copies-rest")
+    a, b = (rest.select(*key, F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}")) for x in "ab")
+    across = a.join(b, key).filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & close(F.col("n_a"), F.col("n_b")))
+    more = materialize(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "copies-more")
+    found = found.union(materialize(_verified(more, sets, least), "copies-more-links"))
+
+    comp = components(found, labels)
     of = materialize(comp.select(F.col("node").alias("c_node"), F.col("label.id").alias("component_id"), F.col("label.node").alias("root")), "copies-components")
+    release(docs.sparkSession, mark, rows, of)
     keeper = (F.col("node") == F.col("root")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
     return rows.join(of, rows.node == of.c_node).select("doc_id", "tid", "node", "component_id", keeper.alias("keeper"))
 
@@ -122,6 +174,4 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
 def one_of_each(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, that of the smallest id."""
     found = near_copies(docs, least, id_col, text_col)
-    stay = found.filter("keeper").groupBy(F.col("doc_id").alias("__id"), "node").agg(F.min("tid").alias("__tid")).drop("node")
-    out = docs.withColumn("__row_tid", _tid(F.col(text_col))).join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__row_tid") == F.col("__tid")))
-    return out.dropDuplicates([id_col, "__row_tid"]).drop("__id", "__tid", "__row_tid")
+    return keep_one(docs, found.filter("keeper").groupBy("doc_id", "node").agg(F.min("tid").alias("tid")), id_col, text_col)

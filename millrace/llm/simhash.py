@@ -24,10 +24,10 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import free_names, materialize, release, slices, text_hash, written
 
 RADIUS = 4
 BUCKET = 2000
@@ -51,6 +51,13 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     k = min(width, len(words)) - 1
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(whole[s:e], seed) for s, e in zip(starts[: len(words) - k], last[k:], strict=True)), np.uint64, len(words) - k)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are set in over half of the hashes; 0 if there are none."""
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _BLOCK):
         ones += _ones(hashes[at : at + _BLOCK])
@@ -73,11 +80,7 @@ def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, id_col: str =
             fps = np.array([fingerprint(t, width, seed) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps)], names=["doc_id", "tid", "fp"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_col, _tid(F.col(text_col))).mapInArrow(run, f"doc_id {kind}, tid long, fp long")
-
-
-def _tid(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("tid")
+    return docs.select(F.col(id_col).alias("doc_id"), text_col, text_hash(F.col(text_col)).alias("tid")).mapInArrow(run, f"doc_id {kind}, tid long, fp long")
 
 
 # Covering masks
@@ -183,8 +186,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 4, seed:
     Defined cases: null, empty and blank texts have fingerprint 0 and link like
     any other; repeated rows share fingerprint and component; a null id belongs
     to a component but never names one, unless there is no other id (then null);
-    an empty table gives no rows.
+    an empty table gives no rows; other columns, whatever their names, are
+    ignored. A very long text takes a few times its size while it is hashed.
     """
+    mark = written()
     rows = materialize(fingerprints(docs, width, seed, id_col, text_col), "simhash")
     nodes = materialize(rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
     found = links(nodes.select(F.col("node").alias("fp")), radius, bucket)
@@ -193,6 +198,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 4, seed:
     comp = components(found, nodes.select("node", label.alias("label")))
     of = comp.join(nodes.select("node", "n"), "node").select(F.col("node").alias("c_fp"), F.col("label.id").alias("component_id"), F.col("label.fp").alias("root_fp"), F.col("n").alias("n_copies"))
     of = materialize(of, "simhash-components")  # a plain side, so that Spark may split a fingerprint that very many rows share
+    release(docs.sparkSession, mark, rows, of)
     keeper = (F.col("fp") == F.col("root_fp")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
     return rows.join(of, rows.fp == of.c_fp).select("doc_id", "tid", "fp", "component_id", keeper.alias("keeper"), "n_copies")
 
@@ -204,7 +210,15 @@ def hex_fingerprint(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, that of the smallest id."""
     found = near_duplicates(docs, radius, id_col=id_col, text_col=text_col)
-    stay = found.filter("keeper").groupBy(F.col("doc_id").alias("__id"), "fp").agg(F.min("tid").alias("__tid")).drop("fp")
-    tid = _tid(F.col(text_col))
-    out = docs.withColumn("__row_tid", tid).join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__row_tid") == F.col("__tid")))
-    return out.dropDuplicates([id_col, "__row_tid"]).drop("__id", "__tid", "__row_tid")
+    return keep_one(docs, found.filter("keeper").groupBy("doc_id", "fp").agg(F.min("tid").alias("tid")), id_col, text_col)
+
+
+def keep_one(docs: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` for each ``doc_id, tid`` of ``stay``; of rows alike in both, that of the smallest hash of the
+    other columns."""
+    own_id, own_tid, row_tid, nth = free_names(docs, "stay_id", "stay_tid", "row_tid", "row_nth")
+    stay = stay.select(F.col("doc_id").alias(own_id), F.col("tid").alias(own_tid)).distinct()
+    others = F.to_json(F.struct(*(F.col(c) for c in docs.columns if c not in (id_col, text_col)), F.lit(0).alias(nth)))
+    out = docs.withColumn(row_tid, text_hash(F.col(text_col))).join(stay, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(row_tid) == F.col(own_tid)))
+    order = Window.partitionBy(id_col, row_tid).orderBy(F.xxhash64(others), others)
+    return out.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).drop(own_id, own_tid, row_tid, nth)

@@ -52,3 +52,20 @@ def test_messy(messy, none):
     kept = [(r.doc_id, r.text) for r in stay.collect()]
     assert len(kept) == len(set(kept)) == len({frozenset(plain_set(r.text)) for r in messy.select("text").collect()})
     assert N.one_of_each(none).count() == 0
+
+
+def test_no_bucket_gives_all_its_pairs(spark, monkeypatch):
+    """400 near copies of a text, all in common buckets: links are proposed to pivots, not between all."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for k in range(400):
+        other = list(words)
+        for at in rng.sample(range(400), 4):
+            other[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(other)))
+    seen, verified = [], N._verified
+    monkeypatch.setattr(N, "_verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+    stay = N.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id for r in stay} == plain_kept(rows)
+    assert sum(seen) < 400 * 32 < 400 * 399 / 2
