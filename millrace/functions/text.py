@@ -66,7 +66,11 @@ ADDRESS_ABBREVIATIONS = {
 URL_PREFIX = r"^https?://(www\.)?|^www\."
 DOMAIN_SUFFIX = r"\.(com|org|net|in|fr|co\.in|co|io|biz|info)(/.*)?$"
 NOT_WORD = r"[^\p{L}\p{N}_\s]"
-POSTAL = r"\b(\d{5}|\d{6})\b"
+#: A digit is one of any script (Nd); a word character a letter, a number or the underscore, whatever the regex engine thinks.
+DIGIT = r"\p{Nd}"
+BEFORE_WORD, AFTER_WORD = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+POSTAL = BEFORE_WORD + rf"({DIGIT}{{5}}|{DIGIT}{{6}})" + AFTER_WORD
+NUMBER = BEFORE_WORD + rf"({DIGIT}+)" + AFTER_WORD
 
 #: Longest first, so that an alternative is not cut short by one it ends with.
 SUFFIX_AT_END = r"\b(" + "|".join(sorted(LEGAL_SUFFIXES, key=len, reverse=True)) + r")\s*$"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.similarity import fuzz_partial_ratio, fuzz_ratio, fuzz_token_set, fuzz_token_sort
-from millrace.functions.text import tokens
+from millrace.functions.similarity import common_lengths, fuzz_partial_ratio, ratio, sorted_tokens, token_set_ratio, token_sets
+from millrace.functions.text import DIGIT, tokens
 
 # The features, in the order of a feature vector.
 FEATURE_NAMES = [
@@ -69,7 +69,7 @@ def plain_features(pairs: DataFrame) -> DataFrame:
     posted = both & c("s_postal").isNotNull() & c("t_postal").isNotNull()
     compact = [F.replace(c(f"{x}_name_core"), F.lit(" "), F.lit("")) for x in "st"]
     size = [F.length(f"{x}_name_clean") for x in "st"]
-    numbers = [F.filter(tokens(c(f"{x}_addr_clean")), lambda t: t.rlike(r"^\d+$")) for x in "st"]
+    numbers = [F.filter(tokens(c(f"{x}_addr_clean")), lambda t: t.rlike(f"^{DIGIT}+$")) for x in "st"]
     return pairs.withColumns(
         {
             "name_exact_clean": _flag((c("s_name_clean") == c("t_name_clean")) & (c("s_name_clean") != "")),
@@ -92,27 +92,36 @@ def plain_features(pairs: DataFrame) -> DataFrame:
 
 
 def fuzzy_features(pairs: DataFrame) -> DataFrame:
-    """The edit similarities, in one Arrow stage over the pairs."""
-    c = F.col
+    """The edit similarities: tokens are compared by built-in functions, all LCS lengths come from one Arrow stage."""
+    c, sides = F.col, ("name_clean", "addr_clean")
     both = (c("s_addr_clean") != "") & (c("t_addr_clean") != "")
-    scored = pairs.withColumns(
+    made = {}
+    for side in sides:
+        s, t = c(f"s_{side}"), c(f"t_{side}")
+        made |= {f"__{side}_sorted_s": sorted_tokens(s), f"__{side}_sorted_t": sorted_tokens(t)}
+        made |= dict(zip((f"__{side}_base", f"__{side}_only_s", f"__{side}_only_t"), token_sets(s, t), strict=True))
+    wanted = [("s_name_clean", "t_name_clean"), ("s_name_core", "t_name_core")]
+    wanted += [(f"__{side}_{kind}_s", f"__{side}_{kind}_t") for side in sides for kind in ("sorted", "only")]
+    out = pairs.withColumns(made)
+    out = out.withColumns({"__common": common_lengths([(c(a), c(b)) for a, b in wanted]), "name_fuzz_partial_ratio": fuzz_partial_ratio(c("s_name_clean"), c("t_name_clean"))})
+    common = {pair: F.element_at("__common", k + 1) for k, pair in enumerate(wanted)}
+    plain = lambda a, b: ratio(c(a), c(b), common[a, b])
+    by_sets = {}
+    for side in sides:
+        only = (f"__{side}_only_s", f"__{side}_only_t")
+        by_sets[side] = token_set_ratio(c(f"s_{side}"), c(f"t_{side}"), c(f"__{side}_base"), *map(c, only), common[only])
+    out = out.withColumns(
         {
-            "name_fuzz_ratio": fuzz_ratio(c("s_name_clean"), c("t_name_clean")),
-            "name_fuzz_partial_ratio": fuzz_partial_ratio(c("s_name_clean"), c("t_name_clean")),
-            "name_fuzz_token_sort": fuzz_token_sort(c("s_name_clean"), c("t_name_clean")),
-            "name_fuzz_token_set": fuzz_token_set(c("s_name_clean"), c("t_name_clean")),
-            "name_core_fuzz_ratio": fuzz_ratio(c("s_name_core"), c("t_name_core")),
-            "__sort": fuzz_token_sort(c("s_addr_clean"), c("t_addr_clean")),
-            "__set": fuzz_token_set(c("s_addr_clean"), c("t_addr_clean")),
+            "name_fuzz_ratio": plain("s_name_clean", "t_name_clean"),
+            "name_fuzz_token_sort": plain("__name_clean_sorted_s", "__name_clean_sorted_t"),
+            "name_fuzz_token_set": by_sets["name_clean"],
+            "name_core_fuzz_ratio": plain("s_name_core", "t_name_core"),
+            "addr_fuzz_token_sort": F.when(both, plain("__addr_clean_sorted_s", "__addr_clean_sorted_t")).otherwise(0.0),
+            "addr_fuzz_token_set": F.when(both, by_sets["addr_clean"]).otherwise(0.0),
         }
     )
-    return scored.withColumns(
-        {
-            "addr_fuzz_token_sort": F.when(both, c("__sort")).otherwise(0.0),
-            "addr_fuzz_token_set": F.when(both, c("__set")).otherwise(0.0),
-            "name_addr_geom_mean": F.when(both, F.sqrt(c("name_fuzz_token_set") * c("__set"))).otherwise(c("name_fuzz_token_set") * 0.5),
-        }
-    ).drop("__sort", "__set")
+    geometric = F.when(both, F.sqrt(c("name_fuzz_token_set") * c("addr_fuzz_token_set"))).otherwise(c("name_fuzz_token_set") * 0.5)
+    return out.withColumn("name_addr_geom_mean", geometric).drop("__common", *made)
 
 
 def pair_features(pairs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import tokens
+from millrace.functions.text import NUMBER, tokens
 
 # Words that say too little about a name to be a key.
 STOPWORDS = [
@@ -46,7 +46,7 @@ def key_arrays(normal: DataFrame) -> DataFrame:
             "__name": _telling(tokens(F.col("name_core"))),
             "__compact": F.replace(F.col("name_core"), F.lit(" "), F.lit("")),
             "__streets": F.filter(_telling(tokens(F.col("addr_clean"))), lambda t: (F.length(t) >= 4) & t.rlike(r"^\p{L}+$")),
-            "__number": F.try_element_at(F.regexp_extract_all("addr_clean", F.lit(r"\b(\d+)\b"), 1), F.lit(1)),
+            "__number": F.try_element_at(F.regexp_extract_all("addr_clean", F.lit(NUMBER), 1), F.lit(1)),
         }
     )
     name, number, streets = F.col("__name"), F.col("__number"), F.col("__streets")

@@ -64,9 +64,10 @@ def blocking_quality(universe: DataFrame, truth: DataFrame, candidates: DataFram
 
 
 def frequencies(df: DataFrame, column: str) -> DataFrame:
-    """``column``, its count ``n`` and its ``share``. The window is over the few counts, not over the rows."""
+    """``column``, its count ``n`` and its ``share``. The total is one row that every task gets."""
     n = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    total = df.agg(F.count(F.lit(1)).alias("__total"))
+    return n.join(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("__total")).alias("share"))
 
 
 def _binned(scored: DataFrame, score: str, label: str) -> DataFrame:

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
 from typing import Protocol
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from . import boost
+from .decide import DEFAULT, Thresholds
 from .features import FEATURE_NAMES
 
+#: Labelled pairs that training may use, the smallest by a hash of the pair (all of them, if there are no more).
+TRAIN_PAIRS = 400_000
+
 
 class Scorer(Protocol):
     def score(self, features: DataFrame) -> DataFrame:
@@ -32,37 +38,61 @@ class Scorecard:
         return features.withColumn("prob", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
 
 
+def _matrix(rows: pd.DataFrame) -> np.ndarray:
+    return rows[FEATURE_NAMES].to_numpy(np.float32).astype(float)  # as precise as features are stored elsewhere
+
+
 class BoostedTrees:
-    """Gradient-boosted trees on all features."""
-
-    def __init__(self, model: PipelineModel | None = None) -> None:
-        self.model = model
-
-    def fit(self, labelled: DataFrame, rounds: int = 300, rate: float = 0.06, depth: int = 5, seed: int = 42, early_stopping: str | None = None) -> BoostedTrees:
-        """``early_stopping`` names a boolean column that marks the rows to validate on."""
-        trees = GBTClassifier(labelCol="label", maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-        if early_stopping:
-            trees = trees.setValidationIndicatorCol(early_stopping)
-        typed = labelled.withColumn("label", F.col("label").cast("double"))
-        self.model = Pipeline(stages=[VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features"), trees]).fit(typed)
+    """Gradient-boosted trees on all features, with the thresholds they are used with."""
+
+    def __init__(self, model: boost.Boosted | None = None, thresholds: Thresholds = DEFAULT) -> None:
+        self.model, self.thresholds = model, thresholds
+
+    def fit(self, labelled: DataFrame, rounds: int = 300, rate: float = 0.06, leaves: int = 31, depth: int = 6, seed: int = 42, valid: DataFrame | None = None, patience: int = 50, max_pairs: int = TRAIN_PAIRS) -> BoostedTrees:
+        """On at most ``max_pairs`` rows. With ``valid`` rows boosting ends when their loss has not fallen for ``patience`` rounds."""
+
+        def gather(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+            columns = [*FEATURE_NAMES, "label", *(c for c in ("s1_id", "t_id") if c in rows.columns)]
+            key = F.xxhash64(F.lit(seed), *(F.col(c) for c in columns))
+            own = rows.select(*columns, key.alias("__k")).orderBy("__k").limit(max_pairs).toPandas()
+            return _matrix(own), own["label"].to_numpy(float)
+
+        x, y = gather(labelled)
+        self.model = boost.fit(x, y, rounds, rate, leaves, depth, valid=None if valid is None else gather(valid), patience=patience, seed=seed)
         return self
 
-    def score(self, features: DataFrame) -> DataFrame:
+    def _fitted(self) -> boost.Boosted:
         if self.model is None:
             raise RuntimeError("the model has not been fitted")
-        return self.model.transform(features).withColumn("prob", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+        return self.model
+
+    def score(self, features: DataFrame) -> DataFrame:
+        shared = features.sparkSession.sparkContext.broadcast(self._fitted())  # rounds times leaves nodes
+
+        @F.pandas_udf(DoubleType())
+        def prob(*columns: pd.Series) -> pd.Series:
+            x = np.stack([c.to_numpy(np.float32) for c in columns], 1).astype(float)
+            return pd.Series(shared.value.probabilities(x))
+
+        return features.withColumn("prob", prob(*(F.col(n).cast("float") for n in FEATURE_NAMES)))
 
     def importances(self, top: int = 10) -> list[tuple[str, float]]:
-        if self.model is None:
-            raise RuntimeError("the model has not been fitted")
-        weights = self.model.stages[-1].featureImportances.toArray()
-        return sorted(zip(FEATURE_NAMES, (float(w) for w in weights), strict=True), key=lambda x: (-x[1], x[0]))[:top]
+        """What the splits on a feature gained in all, the largest first."""
+        return sorted(zip(FEATURE_NAMES, self._fitted().gains, strict=True), key=lambda x: (-x[1], x[0]))[:top]
 
-    def save(self, path: str) -> None:
-        if self.model is None:
-            raise RuntimeError("the model has not been fitted")
-        self.model.write().overwrite().save(path)
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One line of JSON below ``path``, on any file system that Spark writes to."""
+        model = self._fitted()
+        whole = {"base": model.base, "trees": [asdict(t) for t in model.trees], "gains": model.gains, "thresholds": asdict(self.thresholds)}
+        spark.createDataFrame([(json.dumps(whole),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
     @classmethod
-    def load(cls, path: str) -> BoostedTrees:
-        return cls(PipelineModel.load(path))
+    def load(cls, spark: SparkSession, *paths: str) -> BoostedTrees:
+        """From the first of ``paths`` that exists."""
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+                whole = json.loads(spark.read.text(path).first().value)
+                model = boost.Boosted(whole["base"], [boost.Tree(**t) for t in whole["trees"]], whole["gains"])
+                return cls(model, Thresholds(**whole["thresholds"]))
+        raise FileNotFoundError(f"no model at {' or '.join(paths)}")

@@ -20,31 +20,55 @@ def training_pairs(candidates: DataFrame, truth: DataFrame, references: DataFram
     return both.groupBy("s1_id", "t_id").agg(F.max("label").alias("label")).join(truth_flag, ["s1_id", "t_id"], "left").select("s1_id", "t_id", F.greatest("label", F.coalesce("true", F.lit(0))).alias("label"))
 
 
-def take_by_hash(rows: DataFrame, stratum: str, key: Column, quota: DataFrame) -> DataFrame:
-    """Of each stratum the ``quota`` rows of the smallest MD5 of the key, exactly.
+def _hashed(rows: DataFrame, key: Column) -> DataFrame:
+    return rows.withColumn("__h", F.md5(F.concat(F.lit(SEED), key).cast("binary"))).withColumn("__cell", F.substring("__h", 1, _HEX))
 
-    ``quota``: stratum and ``n_take``. A stratum may hold most of the rows, so
-    it is not ranked as a whole: counts of its cells (by the hash's first
-    digits) tell which cells are in, and only rows of the cell in which the
-    quota runs out are ranked.
-    """
-    hashed = rows.withColumn("__h", F.md5(F.concat(F.lit(SEED), key).cast("binary"))).withColumn("__cell", F.substring("__h", 1, _HEX))
+
+def _cells(hashed: DataFrame, stratum: str) -> DataFrame:
+    """Rows of each cell (by the hash's first digits), and up to it: at most 4,096 rows for each stratum."""
     cells = hashed.groupBy(stratum, "__cell").agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy(stratum).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn("__upto", F.sum("__n").over(upto)).join(quota, stratum)
-    cells = cells.select(stratum, "__cell", (F.col("n_take") - (F.col("__upto") - F.col("__n"))).alias("__left"), "__n")
-    placed = hashed.join(cells, [stratum, "__cell"]).filter(F.col("__left") > 0)
-    whole = placed.filter(F.col("__left") >= F.col("__n"))
-    order = Window.partitionBy(stratum, "__cell").orderBy("__h", key)
-    cut = placed.filter(F.col("__left") < F.col("__n")).withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= F.col("__left")).drop("__rank")
-    return whole.unionByName(cut).drop("__h", "__cell", "__left", "__n")
+    return cells.withColumns({"__upto": F.sum("__n").over(upto), "__all": F.sum("__n").over(Window.partitionBy(stratum))})
+
+
+def _last_taken(hashed: DataFrame, stratum: str, key: Column, cells: DataFrame) -> DataFrame:
+    """``__stratum, __last``: the largest (hash, key) of the first ``n_take`` rows of each stratum, null if all are taken.
+
+    A stratum may hold most of the rows, so it is not ranked as a whole: only rows of the cell in which the quota runs
+    out are.
+    """
+    before = F.col("__upto") - F.col("__n")
+    cut = cells.filter((F.col("n_take") > before) & (F.col("n_take") <= F.col("__upto")))
+    cut = cut.select(F.col(stratum).alias("__c_stratum"), F.col("__cell").alias("__c_cell"), (F.col("n_take") - before).alias("__left"))
+    inside = hashed.join(F.broadcast(cut), (F.col(stratum) == F.col("__c_stratum")) & (F.col("__cell") == F.col("__c_cell")))
+    order = Window.partitionBy(stratum).orderBy("__h", "__key")
+    ranked = inside.withColumn("__key", key).withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= F.col("__left"))
+    last = ranked.groupBy(F.col(stratum).alias("__l_stratum")).agg(F.max(F.struct("__h", "__key")).alias("__last"))
+    wanted = cells.filter("n_take > 0").select(F.col(stratum).alias("__stratum")).distinct()
+    return wanted.join(last, F.col("__stratum") == F.col("__l_stratum"), "left").select("__stratum", "__last")
+
+
+def take_by_hash(rows: DataFrame, stratum: str, key: Column, quota: DataFrame) -> DataFrame:
+    """Of each stratum the ``quota`` (stratum, ``n_take``) rows of the smallest MD5 of the key, exactly."""
+    hashed = _hashed(rows, key)
+    last = _last_taken(hashed, stratum, key, _cells(hashed, stratum).join(F.broadcast(quota), stratum))  # a row for each stratum
+    taken = F.col("__last").isNull() | (F.struct(F.col("__h"), key.alias("__key")) <= F.col("__last"))
+    return hashed.join(F.broadcast(last), F.col(stratum) == F.col("__stratum")).filter(taken).select(rows.columns)
 
 
 def split_pairs(pairs: DataFrame, share: float = 0.15) -> DataFrame:
-    """``pairs`` with ``fold``: ``valid`` for ``share`` of each label (rounded up), ``train`` for the rest."""
-    quota = pairs.groupBy("label").agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("n_take"))
-    valid = take_by_hash(pairs, "label", F.concat_ws("|", "s1_id", "t_id"), quota).select("s1_id", "t_id", F.lit("valid").alias("fold"))
-    return pairs.join(valid, ["s1_id", "t_id"], "left").withColumn("fold", F.coalesce("fold", F.lit("train")))
+    """``pairs`` with ``fold``: ``valid`` for ``share`` of each label (rounded up), ``train`` for the rest.
+
+    Pairs are hashed where they are and never shuffled: what moves are the counts of cells and the rows of one cell for
+    each label.
+    """
+    key = F.concat_ws("|", "s1_id", "t_id")
+    hashed = _hashed(pairs, key)
+    cells = _cells(hashed, "label").withColumn("n_take", F.ceil(F.col("__all") * F.lit(share)))
+    last = F.broadcast(_last_taken(hashed, "label", key, cells))  # a row for each label
+    taken = F.col("__last").isNull() | (F.struct(F.col("__h"), key.alias("__key")) <= F.col("__last"))
+    folds = hashed.join(last, F.col("label") == F.col("__stratum"), "left")
+    return folds.select(*pairs.columns, F.when(F.col("__stratum").isNotNull() & taken, "valid").otherwise("train").alias("fold"))
 
 
 def stratified_holdout(records: DataFrame, stratum: str, id_col: str, size: int) -> DataFrame:

@@ -20,13 +20,13 @@ from millrace.operators.keys import KINDS, STOPWORDS, WEIGHTS, blocking_keys, ke
 from millrace.operators.model import BoostedTrees, Scorecard
 from millrace.plans import resolve as R
 from millrace.sources import fixtures, tsv
+from millrace.sources.scratch import scratch_dir, write_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 #: The cap never binds on small tables; this one does.
 LOW_CAP = 30
-GBT_ROUNDS = 5
 
 
 def register(sql: str | None = None):  # noqa: ANN201
@@ -113,7 +113,9 @@ def _unsuffixed(x: str) -> str:
 _NAME = _spaced(_punct(_symbols(f"regexp_replace(regexp_replace(lname, '{T.URL_PREFIX}', ''), '{T.DOMAIN_SUFFIX}', '')")))
 _ABBR = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in T.ADDRESS_ABBREVIATIONS.items()) + "}"
 _ADDR_WORDS = _tokens(_punct("replace(replace(laddr, '&', ' and '), '-', ' ')"))
-_POSTAL = f"regexp_extract_all(laddr, '{T.POSTAL}', 1)[-1]"
+# Written for an engine without look-around: what stands before the last run of digits is taken greedily.
+_POSTAL = r"nullif(regexp_extract(laddr, '^(?:.*[^\p{L}\p{N}_])?(\p{Nd}{5,6})(?:[^\p{L}\p{N}_].*)?$', 1, 's'), '')"
+_NUMBER = r"nullif(regexp_extract(addr_clean, '(?:^|[^\p{L}\p{N}_])(\p{Nd}+)(?:[^\p{L}\p{N}_]|$)', 1), '')"
 
 _SRC = fixtures.SOURCES_SQL.format(customer="customer", part="part")
 _NORMAL = (
@@ -128,7 +130,7 @@ _KEYS = (
     _NORMAL
     + f""", w as (select *, list_filter({_tokens("name_core")}, lambda x: not list_contains({_STOP}, x)) names, replace(name_core, ' ', '') compact,
   list_filter({_tokens("addr_clean")}, lambda x: length(x) >= 4 and regexp_full_match(x, '\\p{{L}}+') and not list_contains({_STOP}, x)) streets,
-  regexp_extract_all(addr_clean, '\\b(\\d+)\\b', 1)[1] num from normal),
+  {_NUMBER} num from normal),
 k0 as (
   select src, country, entity_id, 'nc' kind, 'nc:' || name_core as key from w where length(name_core) >= 4
   union select src, country, entity_id, 'cmp', 'cmp:' || substr(compact, 1, 25) from w where length(compact) >= 5
@@ -180,7 +182,7 @@ feats as (select s1_id, t_id, rn,
   (ta = '')::int::double is_s23_addr_missing, {_BOTH}::int::double is_both_addr_present,
   case when {_BOTH} then {_jac("sat", "tat")} else 0.0::double end addr_token_jaccard,
   coalesce({_BOTH} and sp = tp, false)::int::double postal_exact_match, coalesce({_BOTH} and sp <> tp, false)::int::double postal_mismatch,
-  ({_BOTH} and list_has_any(list_filter(sat, lambda x: regexp_full_match(x, '\\d+')), list_filter(tat, lambda x: regexp_full_match(x, '\\d+'))))::int::double number_match,
+  ({_BOTH} and list_has_any(list_filter(sat, lambda x: regexp_full_match(x, '\\p{{Nd}}+')), list_filter(tat, lambda x: regexp_full_match(x, '\\p{{Nd}}+'))))::int::double number_match,
   starts_with(t_id, 'S2-')::int::double source_is_s2, starts_with(t_id, 'S3-')::int::double source_is_s3 from meta)"""
 )
 _Z = " + ".join([f"({Scorecard.BIAS})", *(f"({w}) * {n}" for n, w in Scorecard.WEIGHTS.items())])
@@ -387,10 +389,9 @@ def singleton_shield(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(_SCORED + f", found as ({_shielded(decide.RESCORE.tau, decide.RESCORE.sing)}) select s.entity_id s1_id, coalesce(string_agg(t_id, ',' order by rn), '') matched from src s left join found f on f.s1_id = s.entity_id where s.src = 'S1' group by 1")
 def rescore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, s, _ = _candidates(spark, sf_dir)
-    src = _src(spark, sf_dir)
+    c, s, t = _candidates(spark, sf_dir)
     saved = tsv.sink_rows(s, B.candidate_lists(s, c), "candidates", "candidate_entity_ids")
-    return R.rescore(saved, src.filter("src = 'S1'"), src.filter("src <> 'S1'")).select("s1_id", F.array_join("matched", ",").alias("matched"))
+    return R.rescore_normal(saved, s, t).select("s1_id", F.array_join("matched", ",").alias("matched"))
 
 
 _CELLS = ", ".join(f"({s}::double, {t}::double)" for s, t in tuning.GRID)
@@ -488,7 +489,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees, fitted on the training fold with few rounds, over the validation fold."""
+    """Boosted trees, fitted on the training fold, over the validation fold, which also ends the boosting."""
     model, valid = _gbt(spark, sf_dir)
     return valid.select("s1_id", "t_id", "label", "prob")
 
@@ -501,7 +502,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gbt(spark: SparkSession, sf_dir: str) -> tuple[BoostedTrees, DataFrame]:
     src = _src(spark, sf_dir)
-    return R.train(src.filter("src = 'S1'"), src.filter("src <> 'S1'"), _truth(spark, sf_dir), rounds=GBT_ROUNDS, depth=4)
+    return R.train(src.filter("src = 'S1'"), src.filter("src <> 'S1'"), _truth(spark, sf_dir))
 
 
 # Metrics
@@ -544,6 +545,27 @@ def avg_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocking(spark, sf_dir).select(F.round("avg_candidates", 9).alias("avg_candidates"))
 
 
+_POOL = 150
+
+
+@register(
+    _KEYS
+    + f""", truth as (select s.entity_id s1_id, t.entity_id t_id from src s join src t on s.k = t.k where s.src = 'S1' and t.src <> 'S1'),
+pool as (select entity_id from (select entity_id, row_number() over (partition by src order by entity_id) r from src where src <> 'S1') where r <= {_POOL} or entity_id in (select t_id from truth)),
+size as (select country, key, count(*) n from keys where entity_id in (select entity_id from pool) group by all),
+post as (select keys.* from keys join size using (country, key) where entity_id in (select entity_id from pool) and n <= {B.MAX_POSTINGS}),
+tally as (select s.entity_id s1_id, t.entity_id t_id, sum(s.weight) score from keys s join post t on s.country = t.country and s.key = t.key where s.src = 'S1' group by all),
+cands as (select *, row_number() over (partition by s1_id order by score desc, t_id) rn from tally qualify rn <= {B.MAX_CANDIDATES}),
+q as (select (select count(*) from truth) n_true, (select count(*) from truth join cands using (s1_id, t_id)) hit, (select count(*) from cands) n_cand, (select count(*) from src where src = 'S1') n, (select count(*) from pool) pool)
+select round(hit / greatest(1, n_true), 9) recall, round(n_cand / n, 9) avg_candidates, round(1 - n_cand / n / pool, 9) reduction_ratio, pool from q"""
+)
+def blocking_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocking quality over a limited pool that the missing true targets are added to."""
+    src = _src(spark, sf_dir)
+    row = R.benchmark_blocking(src.filter("src = 'S1'"), src.filter("src <> 'S1'"), _truth(spark, sf_dir), _POOL)
+    return row.select(*(F.round(c, 9).alias(c) for c in ("recall", "avg_candidates", "reduction_ratio")), "pool")
+
+
 @register(_BLOCKING + " select round(1 - n_cand / n / pool, 9) reduction_ratio from q")
 def reduction_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocking(spark, sf_dir).select(F.round("reduction_ratio", 9).alias("reduction_ratio"))
@@ -614,8 +636,59 @@ def sink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tsv.sink_rows(s, lists, "matched", "matched_entity_ids", position="k")
 
 
+@register(_SRC + " select entity_id, nullif(business_name, 'NA') business_name, business_address, country from src")
+def scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records through a TSV file: missing values come back as nulls."""
+    path = scratch_dir(spark, "records")
+    tsv.write_tsv(_src(spark, sf_dir).select(*tsv.RECORD), path)
+    return tsv.read_typed(spark, path)
+
+
+@register(_SRC + " select entity_id, coalesce(business_name, '') business_name, coalesce(business_address, '') business_address from src where country = 'India'")
+def scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a country from bare lines: missing values are empty texts."""
+    path = scratch_dir(spark, "records")
+    tsv.write_lists(_src(spark, sf_dir).select(*tsv.RECORD), path)
+    return tsv.records_of(tsv.read_raw(spark, path), "India")
+
+
+@register(_SRC + " select country, count(*) n, round(count(*) / sum(count(*)) over (), 9) share from src where src = 'S1' group by 1")
+def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country counts through a JSON file."""
+    path = scratch_dir(spark, "counts")
+    tsv.write_json(country_counts(spark, sf_dir), path)
+    return spark.read.schema("country string, n long, share double").json(path)
+
+
 # Validation of result files
 
+_HEAD = "source1_entity_id\tmatched_entity_ids\n"
+#: Files by case, and the words by which the validator's first error is known (none: the file is fine).
+FILE_CASES = {
+    "fine": (_HEAD + "S1-1\tS2-1\n", ""),
+    "empty": ("", "is empty"),
+    "commas": ("source1_entity_id,matched_entity_ids\nS1-1,S2-1\n", "tab-separated"),
+    "header": ("s1\tmatched\nS1-1\tS2-1\n", "the header is"),
+    "malformed": (_HEAD + "S1-1\tS2-1\nno tab\n", "line 3: no tab"),
+    "repeated header": (_HEAD + _HEAD + "S1-1\tS2-1\n", "prefix"),
+    "not text": (_HEAD + "S1-1\tS2-\udcff\n", "UTF-8"),
+    "missing": (None, "file not found"),
+}
+
+
+@register("select * from (values " + ", ".join(f"('{case}', {str(not says).lower()}, true)" for case, (_, says) in FILE_CASES.items()) + ") v(file_case, passes, says_why)")
+def val_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validator on a file for each thing that can be wrong with a whole file or a line."""
+    folder, rows = scratch_dir(spark, "cases"), []
+    required = spark.createDataFrame([("S1-1",)], "entity_id string")
+    for case, (text, says) in FILE_CASES.items():
+        path = f"{folder}/{case.replace(' ', '-')}.tsv"
+        if text is not None:
+            write_bytes(spark, path, text.encode("utf-8", "surrogateescape"))
+        out = validate.validate(spark, path, required)
+        rows.append((case, out.ok, not says or says in out.errors[0]))
+    return spark.createDataFrame(rows, "file_case string, passes boolean, says_why boolean")
+
 
 def _lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.parse_ids(fixtures.result_lists(spark, sf_dir), "s1_id", "id_list")

@@ -16,12 +16,13 @@ with b as (
     split_part('Oak,Mahatma Gandhi,Victor Hugo,Lincoln,Nehru,Voltaire,Maple,Station,Castle,River,Temple,Market,Garden', ',', cast((c_custkey * 7 + 3) % 13 as int) + 1) st,
     cast((c_custkey * 37) % 900 + 1 as string) num,
     case c_nationkey % 3 when 1 then cast(110000 + (c_custkey * 13) % 5000 as string)
-                         else cast(10000 + (c_custkey * 13) % 5000 as string) end pc
+                         else cast(10000 + (c_custkey * 13) % 5000 as string) end pc,
+    case when c_nationkey % 3 = 1 and c_custkey % 13 < 3 then '०१२३४५६७८९' else '0123456789' end digits
   from {customer} join {part} on p_partkey = c_custkey % 200
 ), src as (
   select 'S1' src, k, concat('S1-', cast(k as string)) entity_id,
     concat(w1, ' ', p_name, case country when 'US' then ' Inc.' when 'India' then ' Pvt. Ltd.' else ' SARL' end) business_name,
-    concat(num, ' ', st, case country when 'France' then ' Boulevard, ' else ' Road, ' end, pc) business_address, country
+    translate(concat(num, ' ', st, case country when 'France' then ' Boulevard, ' else ' Road, ' end, pc), '0123456789', digits) business_address, country
   from b
   union all
   select 'S2', k, concat('S2-', cast(k as string)),
@@ -29,7 +30,7 @@ with b as (
                when 1 then concat('www.', lower(replace(concat(w1, p_name), ' ', '')), '.com')
                when 2 then concat(w1, ' & ', p_name, ' Corp')
                else concat(w1, ' ', p_name, ' LLC') end,
-    case when k % 37 = 0 then null else concat(num, ' ', st, case country when 'France' then ' Bd ' else ' Rd ' end, pc) end, country
+    case when k % 37 = 0 then null else translate(concat(num, ' ', st, case country when 'France' then ' Bd ' else ' Rd ' end, pc), '0123456789', digits) end, country
   from b where k % 18 <> 0
   union all
   select 'S3', k, concat('S3-', cast(k as string)),

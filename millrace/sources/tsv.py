@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -22,22 +22,49 @@ def read_typed(spark: SparkSession, path: str, schema: StructType = RECORD_SCHEM
     return rows.select(*(F.when(F.col(c).isin(na), None).otherwise(F.col(c)).alias(c) for c in rows.columns))
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """None for a file without any line."""
+    first = spark.read.text(path).limit(1).collect()
+    return first[0].value if first else None
+
+
+def body_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value``: the lines but for the first of each file, wherever else its text stands. Empty lines are left out.
+
+    The CSV reader drops a header by its position; with a separator that no text holds a line is one cell.
+    """
+    return spark.read.schema("value string").csv(path, sep="\x01", header=True, quote="", escape="", multiLine=False)
+
+
 def read_raw(spark: SparkSession, path: str, columns: list[str] = RECORD) -> DataFrame:
     """A TSV as bare lines: quotes are text, "NA" is a value, short rows are skipped, columns go by the header's names.
 
     Rows are located by the header, so a file may have more columns in any order.
     """
-    lines = spark.read.text(path)
-    first = lines.limit(1).collect()
-    if not first:
+    head = first_line(spark, path)
+    if head is None:
         return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))
-    names = [c.strip().lower() for c in first[0].value.split("\t")]
+    names = [c.strip().lower() for c in head.split("\t")]
     at = [names.index(c) for c in columns]
     cells = F.split("value", "\t")
-    rows = lines.filter((F.col("value") != first[0].value) & (F.size(cells) > max(at)))
+    rows = body_lines(spark, path).filter(F.size(cells) > max(at))
     return rows.select(*(cells[i].alias(c) for i, c in zip(at, columns, strict=True)))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, value``: every line with its number in its file, from 1.
+
+    Lines of a block of a file stand together in a partition, in order, so a line's number is its distance from the
+    block's first line, plus the lines of the blocks before: a first pass counts those. What is broadcast is a row for
+    each block.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = F.broadcast(blocks.select("file", "block", (before - F.col("first") + 1).alias("shift")))
+    return raw.join(blocks, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line"), "value")
+
+
 def records_of(rows: DataFrame, country: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """Filter and projection that the optimizer pushes into the scan."""
     if country is not None:
@@ -94,7 +121,7 @@ def write_lists(rows: DataFrame, path: str) -> None:
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="")
+    rows.write.mode("overwrite").csv(path, sep="\t", header=True, quote="\"", escape="\"", emptyValue="", nullValue="")
 
 
 def write_json(row: DataFrame, path: str) -> None:

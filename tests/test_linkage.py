@@ -134,12 +134,61 @@ def test_exact_quota(spark):
     assert folds[1, "valid"] == -(-857 * 15 // 100) and sum(folds.values()) == 1000
 
 
-def test_scorers(spark):
+def test_scorers(spark, tmp_path):
     names = X.FEATURE_NAMES
-    rows = [tuple(float((i * 7 + j) % 5) for j in range(len(names))) + (i % 2,) for i in range(60)]
+    rows = [tuple(float((i * 7 + j) % 5) for j in range(len(names))) + (i % 2,) for i in range(200)]
     df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names) + ", label int")
     assert Scorecard().score(df).filter("prob < 0 or prob > 1").count() == 0
     with pytest.raises(RuntimeError):
         BoostedTrees().score(df)
-    model = BoostedTrees().fit(df, rounds=2, depth=2)
+    model = BoostedTrees(thresholds=decide.Thresholds(0.6, 0.62)).fit(df, rounds=20, depth=3)
     assert model.score(df).filter("prob < 0 or prob > 1").count() == 0 and len(model.importances()) == 10
+    path = str(tmp_path / "model")
+    model.save(spark, path)
+    again = BoostedTrees.load(spark, str(tmp_path / "none"), path)  # the first that exists
+    assert again.thresholds == decide.Thresholds(0.6, 0.62) and again.importances() == model.importances()
+    assert [r.prob for r in again.score(df).collect()] == [r.prob for r in model.score(df).collect()]
+    with pytest.raises(FileNotFoundError):
+        BoostedTrees.load(spark, str(tmp_path / "none"))
+
+
+def test_unicode_digits(spark):
+    assert keys_of(spark, "tesla", "१२ nehru road ११०००१", "११०००१") >= {"addr:१२_nehru", "post:११०००१_१२"}
+    f = features(spark, ("a", "a", "१२ oak", "११०००१"), ("a", "a", "१२ elm", "११०००१"))
+    assert f.number_match == 1 and f.postal_exact_match == 1
+
+
+def test_fuzzy_features_by_pairs(spark):
+    """The features made of LCS lengths, against plain Python over every kind of pair."""
+    from .test_similarity import partial_ratio, ratio, token_set_ratio, token_sort_ratio
+
+    texts = ["", "acme", "acme corp", "corp acme", "acme delta corp", "zeta", "the acme company of delta", "a" * 70 + " acme", "Éa日本 x"]
+    rows = [(f"S2-{i}-{j}", a, b) for i, a in enumerate(texts) for j, b in enumerate(texts)]
+    df = spark.createDataFrame([("S1-1", t, a, a, a, None, b, b, b, None) for t, a, b in rows], "s1_id string, t_id string, s_name_clean string, s_name_core string, s_addr_clean string, s_postal string, t_name_clean string, t_name_core string, t_addr_clean string, t_postal string")
+    got = {r.t_id: r for r in X.pair_features(df).collect()}
+    for t, a, b in rows:
+        r, both = got[t], bool(a and b)
+        assert r.name_fuzz_ratio == r.name_core_fuzz_ratio == pytest.approx(ratio(a, b))
+        assert r.name_fuzz_partial_ratio == pytest.approx(partial_ratio(a, b))
+        assert r.name_fuzz_token_sort == pytest.approx(token_sort_ratio(a, b)) and r.name_fuzz_token_set == pytest.approx(token_set_ratio(a, b))
+        assert r.addr_fuzz_token_sort == pytest.approx(token_sort_ratio(a, b) if both else 0) and r.addr_fuzz_token_set == pytest.approx(token_set_ratio(a, b) if both else 0)
+        assert r.name_addr_geom_mean == pytest.approx(token_set_ratio(a, b) * (1 if both else 0.5))
+
+
+def test_quota_edges(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("id"), (F.col("id") % 2).alias("s"))
+    quota = spark.createDataFrame([(0, 500), (1, 0)], "s long, n_take long")
+    assert {r.s for r in training.take_by_hash(df, "s", F.col("id"), quota).collect()} == {0}
+    assert training.take_by_hash(df, "s", F.col("id"), quota).count() == 50
+    whole = [(r.s1_id, r.fold) for r in training.split_pairs(df.select(F.col("id").alias("s1_id"), F.col("id").alias("t_id"), F.lit(1).alias("label")), 1.0).collect()]
+    assert {f for _, f in whole} == {"valid"}
+    import hashlib
+
+    pairs = [(f"S1-{i}", f"S2-{i}", i % 3 == 0) for i in range(200)]
+    got = {(r.s1_id, r.fold) for r in training.split_pairs(spark.createDataFrame([(a, b, int(y)) for a, b, y in pairs], "s1_id string, t_id string, label int")).collect()}
+    want = set()
+    for label in (True, False):
+        own = sorted((hashlib.md5(f"42{a}|{b}".encode()).hexdigest(), a) for a, b, y in pairs if y == label)
+        take = -(-len(own) * 15 // 100)
+        want |= {(a, "valid" if k < take else "train") for k, (_, a) in enumerate(own)}
+    assert got == want
