@@ -326,6 +326,12 @@ def latent_space(coded: DataFrame, bench: Benchmark, n_docs: int, latent: int =
 _HITS = [("item_id", pa.int64()), ("start_word", pa.int64()), ("n_words", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()), ("answer", pa.float64())]
 
 
+def _hit_batch(batch: pa.RecordBatch, rows: pa.Array, hits: list[tuple]) -> pa.RecordBatch:
+    """``hits`` beside the id and the text hash of the ``rows`` they are in."""
+    found = [pa.array([h[n] for h in hits], kind) for n, (_, kind) in enumerate(_HITS)]
+    return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *found], names=["doc_id", "tid", *(n for n, _ in _HITS)])
+
+
 def _verify(codes: np.ndarray, at: int, item: Item) -> tuple[int, float, float]:
     """Where the common subsequence may start, and how much of the item and of its answer the words from there hold."""
     slack = STEP + len(item.codes) // 4  # the item may start up to STEP - 1 words after the window
@@ -414,7 +420,7 @@ def _search(docs: DataFrame, bench: Benchmark, n_docs: int, kind: str) -> DataFr
             docs_ = [d for d, _ in best]
             hits = [(item_id, *found) for (_, item_id), found in best.items()]
             rows_ = pa.array(docs_, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows_), batch.column(1).take(rows_), *(pa.array([h[n] for h in hits], t) for n, (_, t) in enumerate(_HITS))], names=["doc_id", "tid", *(n for n, _ in _HITS)])
+            yield _hit_batch(batch, rows_, hits)
 
     return coded.mapInArrow(run, f"doc_id {kind}, tid long, item_id long, start_word long, n_words long, cosine double, lcs double, answer double")
 
@@ -441,7 +447,7 @@ def _search_short(docs: DataFrame, bench: Benchmark, kind: str) -> DataFrame:
                 rows += [k] * len(seen)
                 hits += seen.values()
             taken = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), *(pa.array([h[n] for h in hits], t) for n, (_, t) in enumerate(_HITS))], names=["doc_id", "tid", *(n for n, _ in _HITS)])
+            yield _hit_batch(batch, taken, hits)
 
     return docs.mapInArrow(run, f"doc_id {kind}, tid long, item_id long, start_word long, n_words long, cosine double, lcs double, answer double")
 

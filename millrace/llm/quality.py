@@ -90,7 +90,8 @@ class AttentionMIL:
     def __init__(self, seed: int = 1) -> None:
         rng = np.random.default_rng(seed)
         norm = lambda a, b: rng.normal(0, np.sqrt(1 / a), (a, b))
-        self.p = {"W": norm(N_FEATURES, HIDDEN), "b": np.zeros(HIDDEN), "V": norm(HIDDEN, ATTENTION), "U": norm(HIDDEN, ATTENTION), "w": norm(ATTENTION, 1)[:, 0], "c": norm(HIDDEN, 1)[:, 0], "d": np.zeros(1)}
+        self.p = {"W": norm(N_FEATURES, HIDDEN), "b": np.zeros(HIDDEN), "V": norm(HIDDEN, ATTENTION), "U": norm(HIDDEN, ATTENTION)}
+        self.p |= {"w": norm(ATTENTION, 1)[:, 0], "c": norm(HIDDEN, 1)[:, 0], "d": np.zeros(1)}
         self.mean, self.scale = np.zeros(N_FEATURES, np.float32), np.ones(N_FEATURES, np.float32)
 
     def _forward(self, x: np.ndarray, n: np.ndarray) -> dict:

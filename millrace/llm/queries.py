@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
-from .common import fold, table
+from .common import drop_scratch, fold, table  # noqa: F401 - drop_scratch for the entry points
 from .decontam import contaminated
 from .hmm import score_documents
 from .langid import predict_language, train_langid
@@ -80,8 +80,22 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+QUERIES = (
+    op1_best_fit_packing,
+    op2_simhash_near_dedup,
+    op3_line_dedup,
+    op4_nearest_neighbours,
+    op5_hmm_scoring,
+    op6_benchmark_decontamination,
+    op7_quality_classifier,
+    op8_language_id,
+    op9_license_scan,
+    op10_extendible_sharding,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_line_dedup, op4_nearest_neighbours, op5_hmm_scoring, op6_benchmark_decontamination, op7_quality_classifier, op8_language_id, op9_license_scan, op10_extendible_sharding)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
