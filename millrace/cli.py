@@ -87,7 +87,8 @@ def _parser() -> argparse.ArgumentParser:
     add("resolve", resolve, ("--test-dir", str, "dataset/test"), ("--output-dir", str, "output"), *model)
     add("rescore", rescore, ("--test-dir", str, "dataset/test"), ("--candidate-path", str, "output/candidate_pairs.tsv"), ("--output-matching", str, "output/matching_results.tsv"), *model)
     add("validate", validate, ("--matching", str, "output/matching_results.tsv"), ("--candidate", str, None), ("--test-dir", str, "dataset/test"), ("--check-ids", bool, False))
-    add("benchmark-blocking", benchmark_blocking, ("--source1", str, "val_source1.tsv"), ("--source2", str, "train_source2.tsv"), ("--source3", str, "train_source3.tsv"), ("--truth", str, "val_ground_truth.tsv"), ("--rows", int, 200_000))
+    sources = [("--source1", str, "val_source1.tsv"), ("--source2", str, "train_source2.tsv"), ("--source3", str, "train_source3.tsv")]
+    add("benchmark-blocking", benchmark_blocking, *sources, ("--truth", str, "val_ground_truth.tsv"), ("--rows", int, 200_000))
     return parser
 
 

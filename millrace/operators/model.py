@@ -48,7 +48,18 @@ class BoostedTrees:
     def __init__(self, model: boost.Boosted | None = None, thresholds: Thresholds = DEFAULT) -> None:
         self.model, self.thresholds = model, thresholds
 
-    def fit(self, labelled: DataFrame, rounds: int = 300, rate: float = 0.06, leaves: int = 31, depth: int = 6, seed: int = 42, valid: DataFrame | None = None, patience: int = 50, max_pairs: int = TRAIN_PAIRS) -> BoostedTrees:
+    def fit(
+        self,
+        labelled: DataFrame,
+        rounds: int = 300,
+        rate: float = 0.06,
+        leaves: int = 31,
+        depth: int = 6,
+        seed: int = 42,
+        valid: DataFrame | None = None,
+        patience: int = 50,
+        max_pairs: int = TRAIN_PAIRS,
+    ) -> BoostedTrees:
         """On at most ``max_pairs`` rows. With ``valid`` rows boosting ends when their loss has not fallen for ``patience`` rounds."""
 
         def gather(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:

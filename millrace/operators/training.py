@@ -17,7 +17,8 @@ def training_pairs(candidates: DataFrame, truth: DataFrame, references: DataFram
     known = truth.select("s1_id", "t_id").join(s, "s1_id", "left_semi").join(t, "t_id", "left_semi").withColumn("label", F.lit(1))
     both = candidates.select("s1_id", "t_id", F.lit(0).alias("label")).unionByName(known)
     truth_flag = truth.select("s1_id", "t_id", F.lit(1).alias("true")).distinct()
-    return both.groupBy("s1_id", "t_id").agg(F.max("label").alias("label")).join(truth_flag, ["s1_id", "t_id"], "left").select("s1_id", "t_id", F.greatest("label", F.coalesce("true", F.lit(0))).alias("label"))
+    once = both.groupBy("s1_id", "t_id").agg(F.max("label").alias("label")).join(truth_flag, ["s1_id", "t_id"], "left")
+    return once.select("s1_id", "t_id", F.greatest("label", F.coalesce("true", F.lit(0))).alias("label"))
 
 
 def _hashed(rows: DataFrame, key: Column) -> DataFrame:

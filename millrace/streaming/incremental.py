@@ -18,7 +18,9 @@ from millrace.operators.model import Scorer
 from millrace.plans.resolve import kept, score_pairs
 
 
-def link_stream(targets: DataFrame, references: DataFrame, path: str, scorer: Scorer | None = None, at: Thresholds = PIPELINE, max_postings: int = MAX_POSTINGS, k: int = MAX_CANDIDATES) -> DataStreamWriter:
+def link_stream(
+    targets: DataFrame, references: DataFrame, path: str, scorer: Scorer | None = None, at: Thresholds = PIPELINE, max_postings: int = MAX_POSTINGS, k: int = MAX_CANDIDATES
+) -> DataStreamWriter:
     """A writer that appends ``batch, s1_id, t_id, prob`` of pairs at or above ``at.tau`` to Parquet below ``path``.
 
     A batch is written to a folder of its own and replaced if it runs again, so
