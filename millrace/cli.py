@@ -17,7 +17,7 @@ from millrace.operators.model import BoostedTrees, Scorer
 from millrace.operators.validate import validate_files
 from millrace.plans import resolve as R
 from millrace.sources.scratch import exists
-from millrace.sources.tsv import RECORD, TRUTH, assert_unique, parse_truth, read_raw, read_typed, sink_rows, truth_pairs, write_lists
+from millrace.sources.tsv import TRUTH, assert_unique, parse_truth, read_raw, read_typed, sink_rows, truth_pairs, write_lists
 
 
 def _references(spark: SparkSession, path: str) -> DataFrame:
