@@ -3,13 +3,16 @@
 A document is the set of its shingles of ``WIDTH`` words; equal sets are one
 node. Pairs are proposed by the SimHash operator, whose covering tables find
 every two fingerprints of these shingles within its radius. Sets of similarity
-0.8 mostly differ in more bits than any affordable radius, so min-hashes
-propose the rest: ``ROWS`` to a band, two sets of similarity s meet in one of
-the ``BANDS`` bands but for (1 - s^ROWS)^BANDS of the cases, 5e-8 at 0.8. Every
-proposed pair is verified on the whole sets, so no other pair is linked.
-
-No bucket of a band gives all its pairs. First each member is compared with one
-of them, its pivot; that joins groups of copies, however large. Only members
+0.8 mostly differ in more bits than any affordable radius, so the rest is
+proposed by rare shingles: two sets of that similarity share one of the rarest
+fifth of either's shingles, whatever the order of rarity, as long as it is the
+same for all. Shingles that very many documents have come last in it, so that
+documents which share a common passage and little else do not meet. Every
+proposed pair is verified on the whole sets, so no other pair is linked, and
+none is lost.
+
+No bucket of a shingle gives all its pairs. First each member is compared with
+one of them, its pivot; that joins groups of copies, however large. Only members
 that are then in different components are compared with each other.
 """
 
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, release, slices, text_hash, written
@@ -28,13 +31,10 @@ from .simhash import components, keep_one, links, majority
 
 WIDTH = 5
 LEAST = 0.8
-BANDS = 32
-ROWS = 4
-
-_BLOCK = 1 << 12
-_RANDOM = np.random.default_rng(23)
-_XOR = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
-_TIMES = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
+#: Part of a task's documents, and of all, that a common shingle is in; and how many common shingles are told apart.
+COMMON_HERE = 0.002
+COMMON = 0.001
+COMMON_SHINGLES = 200_000
 
 
 def shingle_hashes(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -49,12 +49,20 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(shingle_hashes(text, width))
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
-    """A hash of each band's min-hashes; the same for equal sets."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for at in range(0, len(shingles), _BLOCK):
-        least = np.minimum(least, ((shingles[at : at + _BLOCK, None] ^ _XOR) * _TIMES).min(0))
-    return np.array([xxhash.xxh64_intdigest(band.tobytes()) for band in least.reshape(BANDS, ROWS)], np.uint64)
+def rarest(shingles: np.ndarray, least: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles of which a set must share one with any set of similarity ``least``.
+
+    Sets of n and m shingles that are as similar have least * max(n, m) in common, so those that are not among the last
+    least * n - 1 of the one cannot all be missing from the first of the other. ``common`` (sorted) and their ``counts``
+    come last, by rising count.
+    """
+    n = len(shingles)
+    if not n:
+        return shingles
+    keep = n - int(np.ceil(least * n - 1e-9)) + 1
+    at = np.minimum(common.searchsorted(shingles), max(len(common) - 1, 0))
+    count = np.where(common[at] == shingles, counts[at], 0) if len(common) else np.zeros(n, np.int64)
+    return shingles[np.lexsort((shingles, count))[:keep]]
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -63,10 +71,41 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, tid, node`` (a hash of the set), ``n`` (its size), ``fp`` (the SimHash of its shingles), ``bands`` for
-    every row."""
+def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that about ``COMMON`` of all documents or more have, and their counts where they are common.
+
+    Each task tells those that ``COMMON_HERE`` of its own documents have. The order of rarity may be any, so neither
+    the parts nor the limit of the list lose a pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, counts, docs_here = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        for batch in slices(batches):
+            own = np.concatenate([values, *(shingle_set(t) for t in batch.column(0).to_pylist())])
+            weight = np.concatenate([counts, np.ones(len(own) - len(values), np.int64)])
+            values, inverse = np.unique(own, return_inverse=True)
+            counts = np.bincount(inverse, weights=weight, minlength=len(values)).astype(np.int64)
+            docs_here += batch.num_rows
+            if len(values) > _HELD:  # what was seen once only makes room
+                values, counts = values[counts > 1], counts[counts > 1]
+        often = counts >= max(4, COMMON_HERE * docs_here)
+        yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["value", "n"])
+
+    found = docs.select(text_col).mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    found = found.filter(F.col("n") >= COMMON * docs.count()).orderBy(F.desc("n"), "value").limit(COMMON_SHINGLES).toPandas()
+    values = found["value"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], found["n"].to_numpy(np.int64)[order]
+
+
+_HELD = 1 << 20
+
+
+def _sets(docs: DataFrame, least: float, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, tid, node`` (a hash of the set), ``n`` (its size), ``fp`` (the SimHash of its shingles), ``rare`` (the
+    shingles to meet by) for every row."""
     kind = docs.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col))  # COMMON_SHINGLES at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -76,12 +115,12 @@ def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes()))
                 sizes.append(len(own))
                 fps.append(majority(own))
-                keys.append(bands(own).view(np.int64))
+                keys.append(rarest(own, least, *shared.value).view(np.int64))
             signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, fps)]
             columns = [batch.column(0), batch.column(2), signed[0], pa.array(sizes, pa.int64()), signed[1], pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "node", "n", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "node", "n", "fp", "rare"])
 
-    out = f"doc_id {kind}, tid long, node long, n long, fp long, bands array<long>"
+    out = f"doc_id {kind}, tid long, node long, n long, fp long, rare array<long>"
     return docs.select(F.col(id_col).alias("doc_id"), text_col, text_hash(F.col(text_col)).alias("tid")).mapInArrow(run, out)
 
 
@@ -134,18 +173,22 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     whatever their names, are ignored. A very long text takes some ten times its
     size while its set is made.
     """
-    mark, key = written(), ["band", "value"]
-    rows = materialize(_sets(docs, id_col, text_col), "copies")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("bands").alias("bands"))
+    mark = written()
+    rows = materialize(_sets(docs, least, id_col, text_col), "copies")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"))
     nodes = materialize(nodes, "copies-nodes")
-    dealt = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
-    buckets = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n")).alias("pivot")).filter("members > 1")
-    buckets = materialize(buckets.select(F.col("band").alias("b_band"), F.col("value").alias("b_value"), "pivot"), "copies-buckets")
-    met = dealt.join(buckets, (F.col("band") == F.col("b_band")) & (F.col("value") == F.col("b_value"))).select(*key, "node", "n", "pivot")
-    met = materialize(met, "copies-met")
-
-    close = lambda x, y: F.least(x, y) >= F.greatest(x, y) * F.lit(least - 1e-9)  # noqa: E731 - sets of other sizes are not as similar
-    star = met.filter((F.col("node") != F.col("pivot.node")) & close(F.col("n"), F.col("pivot.n"))).select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+    dealt = rows.select("node", "n", F.posexplode("rare").alias("pos", "value"))
+    # The pivot has the fewest rarer shingles of its own, so it is the one nearest to all.
+    buckets = dealt.groupBy("value").agg(F.min(F.struct("pos", "node", "n")).alias("pivot"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    buckets = materialize(buckets.select(F.col("value").alias("b_value"), "pivot"), "copies-buckets")
+    met = materialize(dealt.join(buckets, F.col("value") == F.col("b_value")).select("value", "node", "n", "pos", "pivot").distinct(), "copies-met")
+
+    def able(n: Column, pos: Column, m: Column, at: Column) -> Column:
+        """Whether sets of n and m shingles that first meet at these places can have as much in common as they must."""
+        return F.least(n - pos, m - at) >= (n + m) * F.lit(least / (1 + least)) - F.lit(1e-9)
+
+    star = met.filter((F.col("node") != F.col("pivot.node")) & able(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos")))
+    star = star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
     ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     first = materialize(star.union(_by_fingerprint(nodes)).select(*ordered).distinct(), "copies-pairs")
     some = met.select("node").union(first.select(F.explode(F.array("a", "b")))).distinct()
@@ -156,11 +199,12 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     label = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("node").alias("node"))
     labels = nodes.select("node", label.alias("label"))
     now = materialize(components(found, labels).select(F.col("node").alias("of"), F.col("label.node").alias("root")), "copies-roots")
-    placed = materialize(met.join(now, met.node == now.of).select(*key, "node", "n", "root"), "copies-placed")
-    open_ = placed.groupBy(*key).agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(F.col("band").alias("o_band"), F.col("value").alias("o_value"))
-    rest = materialize(placed.join(open_, (F.col("band") == F.col("o_band")) & (F.col("value") == F.col("o_value")), "left_semi"), "copies-rest")
-    a, b = (rest.select(*key, F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}")) for x in "ab")
-    across = a.join(b, key).filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & close(F.col("n_a"), F.col("n_b")))
+    placed = materialize(met.join(now, met.node == now.of).select("value", "node", "n", "pos", "root"), "copies-placed")
+    open_ = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(F.col("value").alias("o_value"))
+    rest = materialize(placed.join(open_, F.col("value") == F.col("o_value"), "left_semi"), "copies-rest")
+    a, b = (rest.select("value", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pos", "root"))) for x in "ab")
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & able(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
+    across = a.join(b, "value").filter(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = materialize(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "copies-more")
     found = found.union(materialize(_verified(more, sets, least), "copies-more-links"))
 
