@@ -137,8 +137,10 @@ def _shingles(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles binary")
 
 
-def _verified(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
-    """The ``pairs`` (``a, b``) whose sets are as similar as ``least``."""
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, least: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose sets are as similar as ``least``. Sets are made again for these nodes alone."""
+    some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = materialize(_shingles(docs, nodes.join(some, "node", "left_semi").select("node", "tid"), text_col), "copies-sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -175,13 +177,13 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     """
     mark = written()
     rows = materialize(_sets(docs, least, id_col, text_col), "copies")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"))
-    nodes = materialize(nodes, "copies-nodes")
-    dealt = rows.select("node", "n", F.posexplode("rare").alias("pos", "value"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("rare").alias("rare"))
+    nodes = materialize(nodes, "copies-nodes")  # equal sets meet by the same shingles
+    dealt = nodes.select("node", "n", F.posexplode("rare").alias("pos", "value"))
     # The pivot has the fewest rarer shingles of its own, so it is the one nearest to all.
     buckets = dealt.groupBy("value").agg(F.min(F.struct("pos", "node", "n")).alias("pivot"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     buckets = materialize(buckets.select(F.col("value").alias("b_value"), "pivot"), "copies-buckets")
-    met = materialize(dealt.join(buckets, F.col("value") == F.col("b_value")).select("value", "node", "n", "pos", "pivot").distinct(), "copies-met")
+    met = materialize(dealt.join(buckets, F.col("value") == F.col("b_value")).select("value", "node", "n", "pos", "pivot"), "copies-met")
 
     def able(n: Column, pos: Column, m: Column, at: Column) -> Column:
         """Whether sets of n and m shingles that first meet at these places can have as much in common as they must."""
@@ -191,9 +193,7 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     star = star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
     ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     first = materialize(star.union(_by_fingerprint(nodes)).select(*ordered).distinct(), "copies-pairs")
-    some = met.select("node").union(first.select(F.explode(F.array("a", "b")))).distinct()
-    sets = materialize(_shingles(docs, nodes.join(some, "node", "left_semi").select("node", "tid"), text_col), "copies-sets")
-    found = materialize(_verified(first, sets, least), "copies-links")
+    found = materialize(_verified(first, docs, nodes, text_col, least), "copies-links")
 
     # A node's label: its smallest document (nodes without one come last), then its set, so that labels differ.
     label = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("node").alias("node"))
@@ -206,7 +206,7 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & able(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
     across = a.join(b, "value").filter(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = materialize(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "copies-more")
-    found = found.union(materialize(_verified(more, sets, least), "copies-more-links"))
+    found = found.union(materialize(_verified(more, docs, nodes, text_col, least), "copies-more-links"))
 
     comp = components(found, labels)
     of = materialize(comp.select(F.col("node").alias("c_node"), F.col("label.id").alias("component_id"), F.col("label.node").alias("root")), "copies-components")
