@@ -8,8 +8,8 @@ proposed by rare shingles: two sets of that similarity share one of the rarest
 fifth of either's shingles, whatever the order of rarity, as long as it is the
 same for all. Shingles that very many documents have come last in it, so that
 documents which share a common passage and little else do not meet. Every
-proposed pair is verified on the whole sets, so no other pair is linked, and
-none is lost.
+proposed pair that its sketches do not rule out is verified on the whole sets,
+so no other pair is linked, and none is lost.
 
 No bucket of a shingle gives all its pairs. First each member is compared with
 one of them, its pivot; that joins groups of copies, however large. Only members
@@ -18,7 +18,7 @@ that are then in different components are compared with each other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +71,25 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many of a set's shingles fall into each of one to two times fewer cells, by their lowest bits; nothing if a
+    cell has more than a byte holds."""
+    cells = 1 << max(0, (len(shingles) - 1).bit_length() - 1)
+    counts = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return counts.astype(np.uint8).tobytes() if len(shingles) and counts.max() <= 255 else b""
+
+
+def most_similar(a: bytes, b: bytes) -> float:
+    """What the similarity of two sets can be at most, by their sketches: no cell holds more common shingles than the
+    lesser of its counts."""
+    if not a or not b:
+        return 1.0
+    x, y = sorted((np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b)), key=len)
+    y = y.reshape(-1, len(x)).sum(0)
+    both = int(np.minimum(x, y).sum())
+    return both / (int(x.sum()) + int(y.sum()) - both)
+
+
 def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that about ``COMMON`` of all documents or more have, and their counts where they are common.
 
@@ -124,32 +143,48 @@ def _sets(docs: DataFrame, least: float, id_col: str, text_col: str) -> DataFram
     return docs.select(F.col(id_col).alias("doc_id"), text_col, text_hash(F.col(text_col)).alias("tid")).mapInArrow(run, out)
 
 
-def _shingles(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """``node, shingles`` (the sorted set, eight bytes each) of the ``wanted`` nodes (``node, tid``)."""
+def _made(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text_col: str, make: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """``node, own``: what ``make`` makes of the sorted set of each node in ``pairs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
+            own = [make(shingle_set(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "own"])
 
+    some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.join(some, "node", "left_semi").select("node", "tid")
     texts = docs.select(F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("text_tid"))
     texts = texts.join(wanted, F.col("text_tid") == F.col("tid")).select("node", "text").dropDuplicates(["node"])  # texts of one hash are one text
-    return texts.mapInArrow(run, "node long, shingles binary")
+    return texts.mapInArrow(run, "node long, own binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, least: float) -> DataFrame:
-    """The ``pairs`` (``a, b``) whose sets are as similar as ``least``. Sets are made again for these nodes alone."""
-    some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    own = materialize(_shingles(docs, nodes.join(some, "node", "left_semi").select("node", "tid"), text_col), "copies-sets")
+def _exact(x: bytes, y: bytes) -> float:
+    return similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+
+
+def _near(pairs: DataFrame, made: DataFrame, measure: Callable[[bytes, bytes], float], least: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) for which the ``measure`` of what is ``made`` of both is ``least`` or more."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            near = [similarity(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            near = [measure(x.as_py(), y.as_py()) >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             keep = pa.array(np.flatnonzero(near), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 
-    both = pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    x, y = (made.select(F.col("node").alias(end), F.col("own").alias(side)) for end, side in zip("ab", "xy", strict=True))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, least: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose sets are as similar as ``least``.
+
+    Every pair takes something of both its ends through a join. First that is the sketch, a tenth of the set in size,
+    which tells whether the pair can be as similar at all; whole sets are made for what is left.
+    """
+    sketches = materialize(_made(docs, nodes, pairs, text_col, sketch), "copies-sketches")
+    able = materialize(_near(pairs, sketches, most_similar, least), "copies-able")
+    sets = materialize(_made(docs, nodes, able, text_col, np.ndarray.tobytes), "copies-sets")
+    return _near(able, sets, _exact, least)
 
 
 def _by_fingerprint(nodes: DataFrame) -> DataFrame:
@@ -175,42 +210,56 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     whatever their names, are ignored. A very long text takes some ten times its
     size while its set is made.
     """
-    mark = written()
-    rows = materialize(_sets(docs, least, id_col, text_col), "copies")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("rare").alias("rare"))
-    nodes = materialize(nodes, "copies-nodes")  # equal sets meet by the same shingles
-    dealt = nodes.select("node", "n", F.posexplode("rare").alias("pos", "value"))
+    spark, mark = docs.sparkSession, written()
+    made = materialize(_sets(docs, least, id_col, text_col), "copies")
+    nodes = made.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("rare").alias("rare"))
+    dealing = materialize(nodes, "copies-dealing")  # equal sets meet by the same shingles
+    rows = materialize(made.select("doc_id", "tid", "node"), "copies-rows")
+    release(spark, mark, rows, dealing)
+    nodes = materialize(dealing.drop("rare"), "copies-nodes")
+    dealt = dealing.select("node", "n", F.posexplode("rare").alias("pos", "value"))
+    # Most shingles are in one set only. Their values alone tell that, so what goes with a value is dealt for the others.
+    often = dealt.groupBy("value").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("value")
+    often = materialize(often, "copies-often")
+    met = materialize(dealt.join(often, "value", "left_semi").select("value", "node", "n", "pos"), "copies-met")
+    release(spark, mark, rows, nodes, met)
     # The pivot has the fewest rarer shingles of its own, so it is the one nearest to all.
-    buckets = dealt.groupBy("value").agg(F.min(F.struct("pos", "node", "n")).alias("pivot"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    buckets = materialize(buckets.select(F.col("value").alias("b_value"), "pivot"), "copies-buckets")
-    met = materialize(dealt.join(buckets, F.col("value") == F.col("b_value")).select("value", "node", "n", "pos", "pivot"), "copies-met")
+    pivots = materialize(met.groupBy(F.col("value").alias("p_value")).agg(F.min(F.struct("pos", "node", "n")).alias("pivot")), "copies-pivots")
 
     def able(n: Column, pos: Column, m: Column, at: Column) -> Column:
         """Whether sets of n and m shingles that first meet at these places can have as much in common as they must."""
         return F.least(n - pos, m - at) >= (n + m) * F.lit(least / (1 + least)) - F.lit(1e-9)
 
-    star = met.filter((F.col("node") != F.col("pivot.node")) & able(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos")))
+    star = met.join(pivots, F.col("value") == F.col("p_value"))
+    star = star.filter((F.col("node") != F.col("pivot.node")) & able(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos")))
     star = star.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
     ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     first = materialize(star.union(_by_fingerprint(nodes)).select(*ordered).distinct(), "copies-pairs")
+    release(spark, mark, rows, nodes, met, first)
     found = materialize(_verified(first, docs, nodes, text_col, least), "copies-links")
+    release(spark, mark, rows, nodes, met, first, found)
 
     # A node's label: its smallest document (nodes without one come last), then its set, so that labels differ.
     label = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("node").alias("node"))
     labels = nodes.select("node", label.alias("label"))
     now = materialize(components(found, labels).select(F.col("node").alias("of"), F.col("label.node").alias("root")), "copies-roots")
     placed = materialize(met.join(now, met.node == now.of).select("value", "node", "n", "pos", "root"), "copies-placed")
+    release(spark, mark, rows, nodes, first, found, placed)
     open_ = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(F.col("value").alias("o_value"))
     rest = materialize(placed.join(open_, F.col("value") == F.col("o_value"), "left_semi"), "copies-rest")
+    release(spark, mark, rows, nodes, first, found, rest)
     a, b = (rest.select("value", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pos", "root"))) for x in "ab")
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & able(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
     across = a.join(b, "value").filter(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = materialize(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "copies-more")
-    found = found.union(materialize(_verified(more, docs, nodes, text_col, least), "copies-more-links"))
+    release(spark, mark, rows, nodes, found, more)
+    also = materialize(_verified(more, docs, nodes, text_col, least), "copies-more-links")
+    release(spark, mark, rows, nodes, found, also)
+    found = found.union(also)
 
     comp = components(found, labels)
     of = materialize(comp.select(F.col("node").alias("c_node"), F.col("label.id").alias("component_id"), F.col("label.node").alias("root")), "copies-components")
-    release(docs.sparkSession, mark, rows, of)
+    release(spark, mark, rows, of)
     keeper = (F.col("node") == F.col("root")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
     return rows.join(of, rows.node == of.c_node).select("doc_id", "tid", "node", "component_id", keeper.alias("keeper"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -24,6 +25,21 @@ def test_scratch_tables_go_when_no_longer_needed(spark):
     assert not path_of(b).exists() and C.written() == mark
 
 
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().endswith(".data")}
+
+    mark, before = C.written(), shuffled()
+    df = spark.range(10_000).selectExpr("id % 100 as k").groupBy("k").count()
+    held = [C.materialize(df, "counts"), df]  # what might be collected as garbage is still in use
+    until = time.monotonic() + 10
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left and held[0].count() == held[1].count() == 100
+    C.release(spark, mark)
+
+
 def test_no_local_folder_on_a_cluster():
     conf = SimpleNamespace(get=lambda *_: None)
     far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://somewhere:7077", getConf=lambda: conf))

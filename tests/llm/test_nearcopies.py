@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline as C
+from millrace.llm import common
 from millrace.llm import nearcopies as N
 from millrace.llm import simhash as S
 
@@ -69,3 +72,56 @@ def test_no_bucket_gives_all_its_pairs(spark, monkeypatch):
     stay = N.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert {r.doc_id for r in stay} == plain_kept(rows)
     assert sum(seen) < 400 * 32 < 400 * 399 / 2
+
+
+def test_what_is_dealt_does_not_stay(spark, monkeypatch):
+    """When pairs are verified, neither all sets' rare shingles nor the covering tables are still on disk."""
+    alive, verified = [], N._verified
+    mark = common.written()
+    monkeypatch.setattr(N, "_verified", lambda *a: alive.append([p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in common._written[mark:]]) or verified(*a))
+    stay = N.one_of_each(spark.createDataFrame(copies(), "doc_id long, text string").repartition(3))
+    assert alive == [["copies-rows", "copies-nodes", "copies-met", "copies-pairs"], ["copies-rows", "copies-nodes", "copies-links", "copies-more"]]
+    assert {r.doc_id for r in stay.collect()} == plain_kept(copies())
+    common.release(spark, mark)
+
+
+def test_sketches_rule_out_no_pair_that_is_similar():
+    rng = np.random.default_rng(3)
+    ruled_out = 0
+    for n in (1, 2, 3, 30, 256, 257, 1000, 5000):
+        for share in (0.0, 0.3, 0.6, 0.8, 0.9, 1.0):
+            a, more = (rng.integers(0, 1 << 64, n, np.uint64) for _ in range(2))
+            b = np.unique(np.concatenate([a[: round(share * n)], more[: round((1 - share) * n * 0.7)]]))
+            a = np.unique(a)
+            most, own = N.most_similar(N.sketch(a), N.sketch(b)), N.similarity(a, b)
+            assert own <= most <= 1 and most == N.most_similar(N.sketch(b), N.sketch(a))
+            ruled_out += own < 0.6 and most < 0.8 and n >= 30
+    assert ruled_out == 5 * 3  # all pairs that share 0, 0.3 or 0.6
+    full = np.arange(300, dtype=np.uint64) << np.uint64(20)  # all in one cell: more than a byte holds
+    assert N.sketch(full) == b"" == N.sketch(full[:0]) and N.most_similar(N.sketch(full), N.sketch(a)) == 1
+    assert 8 * 300 / 20 <= len(N.sketch(rng.integers(0, 1 << 64, 300, np.uint64))) <= 300
+
+
+def test_whole_sets_are_made_for_likely_pairs_only(spark, monkeypatch):
+    """Texts that share a rare sentence and nothing else meet, but their sets go nowhere."""
+    rows = [(k, " ".join([f"w{k}x{i}" for i in range(60)] + [f"shared{i}" for i in range(25)])) for k in range(40)]
+    rows += [(100 + k, t + " end") for k, t in rows[:3]]
+    made, plain = [], N._made
+    monkeypatch.setattr(N, "_made", lambda docs, nodes, pairs, text_col, make: made.append((make, pairs.count())) or plain(docs, nodes, pairs, text_col, make))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in N.one_of_each(docs).collect()} == plain_kept(rows) == set(range(40))
+    assert sum(n for make, n in made if make is N.sketch) >= 3 and sum(n for make, n in made if make is not N.sketch) <= 6
+
+
+def test_shingles_of_one_set_are_not_dealt(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(100))) for k in range(50)] + [(100, " ".join(f"w0x{i}" for i in range(99)))]
+    counts, materialize = {}, N.materialize
+
+    def counted(df, label):
+        out = materialize(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    assert N.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count() == 50
+    assert 2 <= counts["copies-met"] <= 2 * 21
