@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.operators import boost as B
+from millrace.operators import model as M
 
 
 def data(n=2000, seed=0):
@@ -68,3 +73,32 @@ def test_margin_of_rows_on_a_cut():
     cuts = B.quantile_cuts(np.array([0.0, 1.0, 1.0, 2.0]))
     assert cuts.tolist() == [0.5, 1.5]
     assert len(B.quantile_cuts(np.arange(10_000.0))) < 255
+
+
+def test_fit_holds_a_byte_for_a_feature_of_a_row():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40_000, 23)).astype(np.float32)
+    y = (x[:, 0] > 0).astype(float)
+    tracemalloc.start()
+    B.fit(x, y, 2, 0.1, valid=(x[:100], y[:100]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * x.size  # eight bytes a feature, twice over, were more than double that
+
+
+def test_the_driver_gets_the_rows_of_the_smallest_hashes_alone(spark, monkeypatch):
+    names = M.FEATURE_NAMES
+    rows = spark.range(5000).select(F.concat(F.lit("S1-"), "id").alias("s1_id"), F.lit("S2-1").alias("t_id"), (F.col("id") % 3 == 0).cast("int").alias("label"),
+                                    *((F.col("id") * (k + 1) / 7).alias(n) for k, n in enumerate(names))).repartition(7)
+    first = rows.withColumn("k", F.xxhash64(F.lit(42), *names, "label", "s1_id", "t_id")).orderBy("k").toPandas()
+
+    def no_sort(*_):
+        raise AssertionError("every partition would send the driver that many rows")
+
+    monkeypatch.setattr(DataFrame, "limit", no_sort)
+    for n in (1, 700, 4999, 5000, 9000):
+        x, y = M._gather(rows, n, 42)
+        assert x.dtype == np.float32 and (x == first[names].to_numpy(np.float32)[:n]).all() and y.tolist() == first["label"].tolist()[:n]
+    x, y = M._gather(rows.filter("label > 1"), 10, 42)
+    assert x.shape == (0, len(names)) and len(y) == 0
+    assert M.BoostedTrees().fit(rows, rounds=3, valid=rows, max_pairs=300).model.trees
