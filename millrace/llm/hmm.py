@@ -49,6 +49,11 @@ CHUNK_BYTES = 16 << 20
 #: Classes of a sequence that are followed one after another; and classes that are followed at a time.
 SEGMENT = 1024
 _CELLS = 1 << 18
+#: Documents that are followed together: the more, the nearer are the lengths of those that run side by side.
+_ROWS = 10_000
+#: Classes after which state weights are scaled, where only the last are wanted: a probability of a class is no less than
+#: some 1e-14, so they stay far from the least number.
+_UNSCALED = 4
 
 END = ""  # the end token: no word is empty
 
@@ -230,12 +235,14 @@ def _forward(model: HMM, x: np.ndarray, alive: np.ndarray, entry: np.ndarray) ->
     rows as are followed at once. The last state weights (each lane's sum to 1) and the log of what they were scaled by."""
     state, logs = entry.copy(), np.zeros(x.shape[1])
     rows, k = entry.shape[1:]
+    ones = np.ones(rows * k)
     for t, m in enumerate(alive):
         s = state[:m] if t == 0 else (state[:m].reshape(-1, k) @ model.move).reshape(m, rows, k)
-        s = s * model.emit[x[t, :m]][:, None, :]
-        scale = s.sum((1, 2))
-        state[:m] = s / scale[:, None, None]
-        logs[:m] += np.log(scale)
+        np.multiply(s, model.emit.take(x[t, :m], axis=0)[:, None, :], out=state[:m])
+        if t % _UNSCALED == _UNSCALED - 1 or t == len(alive) - 1 or alive[t + 1] < m:
+            scale = state[:m].reshape(m, -1) @ ones
+            state[:m] /= scale[:, None, None]
+            logs[:m] += np.log(scale)
     return state, logs
 
 
@@ -284,33 +291,33 @@ def expected_counts(model: HMM, docs: list[np.ndarray]) -> tuple[np.ndarray, np.
     """Baum-Welch's sums over some class sequences, exact however long they are."""
     k = len(model.start)
     start, move, emit, loglik = np.zeros(k), np.zeros((k, k)), np.zeros(model.emit.shape), 0.0
+    back, ones = np.ascontiguousarray(model.move.T), np.ones(k)
     all_ = _Segments(model, docs, backward=True)
     begins = np.zeros(len(all_.parts), bool)
     begins[all_.first] = True
     for ids, x, alive in _lanes(all_.parts):
         steps, lanes = x.shape
-        alpha, scale = np.empty((steps, lanes, k)), np.ones((steps, lanes))
+        alpha, beta, scale = np.zeros((steps, lanes, k)), np.zeros((steps, lanes, k)), np.ones((steps, lanes))
+        seen = model.emit.take(x, axis=0)
         for t, m in enumerate(alive):
-            a = (all_.entry[ids] if t == 0 else alpha[t - 1, :m] @ model.move) * model.emit[x[t, :m]]
-            scale[t, :m] = a.sum(1)
+            a = all_.entry[ids] if t == 0 else alpha[t - 1, :m] @ model.move
+            a *= seen[t, :m]
+            np.matmul(a, ones, out=scale[t, :m])
             np.divide(a, scale[t, :m, None], out=alpha[t, :m])
         loglik += float(np.log(scale).sum())
-        final = alpha[_last_steps(alive, lanes), np.arange(lanes)]
-        beta = all_.after[ids] / (final * all_.after[ids]).sum(1, keepdims=True)
-        for t in range(steps - 1, -1, -1):
+        seen /= scale[:, :, None]
+        last = _last_steps(alive, lanes)
+        final = alpha[last, np.arange(lanes)]
+        beta[last, np.arange(lanes)] = all_.after[ids] / (final * all_.after[ids]).sum(1, keepdims=True)
+        for t in range(steps - 1, 0, -1):
             m = alive[t]
-            gamma = alpha[t, :m] * beta[:m]
-            back = model.emit[x[t, :m]] * beta[:m] / scale[t, :m, None]
-            if t:  # alpha of the step before holds no beta yet
-                move += model.move * (alpha[t - 1, :m].T @ back)
-                beta[:m] = back @ model.move.T
-            else:
-                move += model.move * (all_.before[ids].T @ back)
-            alpha[t, :m] = gamma
-        live = np.arange(lanes)[None, :] < alive[:, None]
-        flat, weights = x[live], alpha[live]
+            np.matmul(seen[t, :m] * beta[t, :m], back, out=beta[t - 1, :m])
+        seen *= beta  # what follows a move, this class included; 0 where a lane has ended
+        move += model.move * (alpha[:-1].reshape(-1, k).T @ seen[1:].reshape(-1, k) + all_.before[ids].T @ seen[0])
+        alpha *= beta
+        weights = alpha.reshape(-1, k)
         for s in range(k):
-            emit[:, s] += np.bincount(flat, weights=weights[:, s], minlength=len(emit))
+            emit[:, s] += np.bincount(x.reshape(-1), weights=weights[:, s], minlength=len(emit))
         start += alpha[0, begins[ids]].sum(0)
     return start, move, emit, loglik
 
@@ -343,8 +350,8 @@ def baum_welch(encoded: DataFrame, totals: Totals, states: int = STATES, iterati
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             total = np.zeros(size)
             for batch in batches:
-                for at in range(0, batch.num_rows, 2000):
-                    start, move, emit, loglik = expected_counts(now.value, _sequences(batch.column(0).slice(at, 2000)))
+                for at in range(0, batch.num_rows, _ROWS):
+                    start, move, emit, loglik = expected_counts(now.value, _sequences(batch.column(0).slice(at, _ROWS)))
                     total += np.concatenate([start, move.reshape(-1), emit.reshape(-1), [loglik]])
             # Sums leave in slices, so that adding them up is spread over tasks.
             padded = np.pad(total, (0, -size % 64)).reshape(-1, 64)
@@ -385,7 +392,7 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            logs = np.concatenate([log_likelihoods(model.value, _sequences(batch.column(1).slice(at, 2000))) for at in range(0, batch.num_rows, 2000)]) if batch.num_rows else np.zeros(0)
+            logs = np.concatenate([log_likelihoods(model.value, _sequences(batch.column(1).slice(at, _ROWS))) for at in range(0, batch.num_rows, _ROWS)]) if batch.num_rows else np.zeros(0)
             score = logs / np.log(10) + batch.column(2).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(4), batch.column(5), batch.column(6), pa.array(score)], names=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
 

@@ -97,6 +97,22 @@ def test_expected_counts_do_not_depend_on_segments(monkeypatch):
         assert H.log_likelihoods(m, docs).sum() == pytest.approx(whole[3], rel=1e-12)
 
 
+def test_weights_that_are_scaled_seldom_do_not_vanish(monkeypatch):
+    """Class probabilities as small as they get, lanes of many lengths: the same as with a scaling at every class."""
+    m, rng = model(k=4, classes=7), np.random.default_rng(8)
+    m.emit[:3] *= 1e-14
+    docs = [rng.integers(0, 7, n).astype(np.uint16) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 31, 32, 33, 400, 400)]
+    docs.append(np.zeros(300, np.uint16))
+    monkeypatch.setattr(H, "SEGMENT", 32)
+    seldom = H.log_likelihoods(m, docs), H.expected_counts(m, docs)
+    monkeypatch.setattr(H, "_UNSCALED", 1)
+    always = H.log_likelihoods(m, docs), H.expected_counts(m, docs)
+    assert seldom[0] == pytest.approx(always[0], rel=1e-12) and seldom[0] == pytest.approx([plain_log(m, d) for d in docs], rel=1e-12)
+    for got, want in zip(seldom[1], always[1], strict=True):
+        assert np.abs(np.asarray(got) - np.asarray(want)).max() < 1e-9
+    assert seldom[1][2].sum() == pytest.approx(sum(map(len, docs))) and seldom[1][1].sum() == pytest.approx(sum(len(d) - 1 for d in docs))
+
+
 def test_word_probabilities_sum_to_one(spark, messy):
     """The sum of P(word | class) over a class's words and one unknown word, and of P(class | state) over classes, is 1."""
     encoded, totals = H.encode_documents(messy, F.lit(True))
