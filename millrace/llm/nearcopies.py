@@ -5,11 +5,12 @@ node. Pairs are proposed by the SimHash operator, whose covering tables find
 every two fingerprints of these shingles within its radius. Sets of similarity
 0.8 mostly differ in more bits than any affordable radius, so the rest is
 proposed by rare shingles: two sets of that similarity share one of the rarest
-fifth of either's shingles, whatever the order of rarity, as long as it is the
-same for all. Shingles that very many documents have come last in it, so that
-documents which share a common passage and little else do not meet. Every
-proposed pair that its sketches do not rule out is verified on the whole sets,
-so no other pair is linked, and none is lost.
+fifth of either's shingles, in any order of rarity that is the same for all. The
+order is by the number of sets that hold a shingle, counted exactly. So sets
+with a fifth of shingles of their own meet nobody, and documents which share
+passages and little else do not meet, however large the table. Every proposed
+pair that its sketches do not rule out is verified on the whole sets, so no
+other pair is linked, and none is lost.
 
 No bucket of a shingle gives all its pairs. First each member is compared with
 one of them, its pivot; that joins groups of copies, however large. Only members
@@ -26,15 +27,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release, slices, text_hash, written
+from .common import byte_slices, materialize, release, slices, text_hash, written
 from .simhash import components, keep_one, links, majority
 
 WIDTH = 5
 LEAST = 0.8
-#: Part of a task's documents, and of all, that a common shingle is in; and how many common shingles are told apart.
-COMMON_HERE = 0.002
-COMMON = 0.001
-COMMON_SHINGLES = 200_000
+#: Hashes are counted in at least so many regions, of about so many shingles at most.
+REGIONS = 256
+REGION_SHINGLES = 1 << 23
+#: Characters of the texts whose sets are dealt to the regions at a time.
+_DEALT_CHARS = 1 << 20
 
 
 def shingle_hashes(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -49,20 +51,8 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(shingle_hashes(text, width))
 
 
-def rarest(shingles: np.ndarray, least: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The shingles of which a set must share one with any set of similarity ``least``.
-
-    Sets of n and m shingles that are as similar have least * max(n, m) in common, so those that are not among the last
-    least * n - 1 of the one cannot all be missing from the first of the other. ``common`` (sorted) and their ``counts``
-    come last, by rising count.
-    """
-    n = len(shingles)
-    if not n:
-        return shingles
-    keep = n - int(np.ceil(least * n - 1e-9)) + 1
-    at = np.minimum(common.searchsorted(shingles), max(len(common) - 1, 0))
-    count = np.where(common[at] == shingles, counts[at], 0) if len(common) else np.zeros(n, np.int64)
-    return shingles[np.lexsort((shingles, count))[:keep]]
+def set_hash(shingles: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(shingles.tobytes())
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -90,59 +80,99 @@ def most_similar(a: bytes, b: bytes) -> float:
     return both / (int(x.sum()) + int(y.sum()) - both)
 
 
-def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that about ``COMMON`` of all documents or more have, and their counts where they are common.
-
-    Each task tells those that ``COMMON_HERE`` of its own documents have. The order of rarity may be any, so neither
-    the parts nor the limit of the list lose a pair.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, counts, docs_here = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        for batch in slices(batches):
-            own = np.concatenate([values, *(shingle_set(t) for t in batch.column(0).to_pylist())])
-            weight = np.concatenate([counts, np.ones(len(own) - len(values), np.int64)])
-            values, inverse = np.unique(own, return_inverse=True)
-            counts = np.bincount(inverse, weights=weight, minlength=len(values)).astype(np.int64)
-            docs_here += batch.num_rows
-            if len(values) > _HELD:  # what was seen once only makes room
-                values, counts = values[counts > 1], counts[counts > 1]
-        often = counts >= max(4, COMMON_HERE * docs_here)
-        yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["value", "n"])
-
-    found = docs.select(text_col).mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
-    found = found.filter(F.col("n") >= COMMON * docs.count()).orderBy(F.desc("n"), "value").limit(COMMON_SHINGLES).toPandas()
-    values = found["value"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(values)
-    return values[order], found["n"].to_numpy(np.int64)[order]
-
-
-_HELD = 1 << 20
-
-
-def _sets(docs: DataFrame, least: float, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, tid, node`` (a hash of the set), ``n`` (its size), ``fp`` (the SimHash of its shingles), ``rare`` (the
-    shingles to meet by) for every row."""
+def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, tid, node`` (a hash of the set), ``n`` (its size), ``fp`` (the SimHash of its shingles) for every row."""
     kind = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col))  # COMMON_SHINGLES at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            nodes, sizes, fps, keys = [], [], [], []
+            nodes, sizes, fps = [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text)
-                nodes.append(xxhash.xxh64_intdigest(own.tobytes()))
+                nodes.append(set_hash(own))
                 sizes.append(len(own))
                 fps.append(majority(own))
-                keys.append(rarest(own, least, *shared.value).view(np.int64))
             signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, fps)]
-            columns = [batch.column(0), batch.column(2), signed[0], pa.array(sizes, pa.int64()), signed[1], pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "node", "n", "fp", "rare"])
+            columns = [batch.column(0), batch.column(2), signed[0], pa.array(sizes, pa.int64()), signed[1]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "node", "n", "fp"])
 
-    out = f"doc_id {kind}, tid long, node long, n long, fp long, rare array<long>"
+    out = f"doc_id {kind}, tid long, node long, n long, fp long"
     return docs.select(F.col(id_col).alias("doc_id"), text_col, text_hash(F.col(text_col)).alias("tid")).mapInArrow(run, out)
 
 
+def _parts(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
+    """``region, nodes, counts, low``: of the sets of some documents those that have shingles whose first ``bits`` bits
+    are ``region``, how many each, and the low seven bytes of these. A pair of set and shingle takes 7 to 19 bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in byte_slices((t for batch in slices(batches) for t in batch.column(0).to_pylist()), _DEALT_CHARS):
+            sets = {set_hash(own): own for own in map(shingle_set, texts)}
+            nodes = np.array(list(sets), np.uint64)
+            values = np.concatenate(list(sets.values()))
+            whose = np.repeat(np.arange(len(nodes)), [len(own) for own in sets.values()])
+            region = values >> np.uint64(64 - bits)
+            order = np.argsort(region, kind="stable")  # a set's shingles stay together
+            low = values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+            regions, starts = np.unique(region[order], return_index=True)
+            columns = [[], [], []]
+            for start, end in zip(starts, [*starts[1:], len(order)], strict=True):
+                own, counts = np.unique(whose[order[start:end]], return_counts=True)
+                for column, part in zip(columns, (nodes[own], counts.astype(np.uint32), low[start:end]), strict=True):
+                    column.append(part.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(regions.astype(np.int64)), *(pa.array(c, pa.binary()) for c in columns)], names=["region", "nodes", "counts", "low"])
+
+    return docs.select(text_col).mapInArrow(run, "region long, nodes binary, counts binary, low binary")
+
+
+def shared_shingles(values: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs of ``values`` and ``nodes`` each one whose value several nodes have, once: value, node, how many."""
+    order = np.argsort(values, kind="stable")
+    values, same = values[order], np.zeros(len(values) + 1, bool)
+    same[1:-1] = values[1:] == values[:-1]
+    again = same[1:] | same[:-1]  # most are there once
+    values, nodes = values[again], nodes[order[again]]
+    order = np.lexsort((nodes, values))
+    values, nodes = values[order], nodes[order]
+    first = np.ones(len(values), bool)
+    first[1:] = (values[1:] != values[:-1]) | (nodes[1:] != nodes[:-1])  # copies of a set are one
+    values, nodes = values[first], nodes[first]
+    _, at, counts = np.unique(values, return_inverse=True, return_counts=True)
+    several = counts[at] > 1
+    return values[several], nodes[several], counts[at][several]
+
+
+def _shared(docs: DataFrame, text_col: str, total: int) -> DataFrame:
+    """``node, value, sets``: the shingles of every set that others have too, and how many sets have them. ``total``:
+    about how many shingles there are."""
+    bits = max(REGIONS - 1, total // REGION_SHINGLES).bit_length()
+
+    def run(key: tuple[pa.Scalar, ...], parts: pa.Table) -> pa.Table:
+        nodes, counts, low = (np.frombuffer(b"".join(parts[c].to_pylist()), kind) for c, kind in (("nodes", np.uint64), ("counts", np.uint32), ("low", np.uint8)))
+        values = np.empty((len(low) // 7, 8), np.uint8)
+        values[:, :7] = low.reshape(-1, 7)
+        values[:, 7] = key[0].as_py() >> (bits - 8)
+        value, node, sets = shared_shingles(values.view("<u8").ravel(), np.repeat(nodes, counts))
+        return pa.table({"node": node.view(np.int64), "value": value.view(np.int64), "sets": sets.astype(np.int64)})
+
+    return _parts(docs, text_col, bits).groupBy("region").applyInArrow(run, "node long, value long, sets long")
+
+
+def _rare(docs: DataFrame, nodes: DataFrame, text_col: str, least: float) -> DataFrame:
+    """``value, node, n, pos``: the shingles of which a set must share one with any set of similarity ``least``, those
+    that no other set has left out.
+
+    Sets of n and m shingles that are as similar have least * max(n, m) in common, so those that are not among the last
+    least * n - 1 of the one cannot all be missing from the first of the other. The first are the rarest.
+    """
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    shared = _shared(docs, text_col, total).repartition("node").groupBy(F.col("node").alias("of")).agg(F.sort_array(F.collect_list(F.struct("sets", "value"))).alias("shared"))
+    own = F.col("n") - F.size("shared")  # they come first
+    first = F.col("n") - F.ceil(F.lit(least) * F.col("n") - F.lit(1e-9)) + 1
+    some = nodes.select("node", "n").join(shared, F.col("node") == F.col("of")).withColumn("own", own)
+    some = some.select("node", "n", "own", F.posexplode(F.slice("shared", F.lit(1), F.greatest(first - F.col("own"), F.lit(0)).cast("int"))).alias("nth", "one"))
+    return some.select(F.col("one.value").alias("value"), "node", "n", (F.col("own") + F.col("nth")).alias("pos"))
+
+
 def _made(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text_col: str, make: Callable[[np.ndarray], bytes]) -> DataFrame:
     """``node, own``: what ``make`` makes of the sorted set of each node in ``pairs``."""
 
@@ -211,18 +241,10 @@ def near_copies(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", t
     size while its set is made.
     """
     spark, mark = docs.sparkSession, written()
-    made = materialize(_sets(docs, least, id_col, text_col), "copies")
-    nodes = made.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("rare").alias("rare"))
-    dealing = materialize(nodes, "copies-dealing")  # equal sets meet by the same shingles
-    rows = materialize(made.select("doc_id", "tid", "node"), "copies-rows")
-    release(spark, mark, rows, dealing)
-    nodes = materialize(dealing.drop("rare"), "copies-nodes")
-    dealt = dealing.select("node", "n", F.posexplode("rare").alias("pos", "value"))
-    # Most shingles are in one set only. Their values alone tell that, so what goes with a value is dealt for the others.
-    often = dealt.groupBy("value").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("value")
-    often = materialize(often, "copies-often")
-    met = materialize(dealt.join(often, "value", "left_semi").select("value", "node", "n", "pos"), "copies-met")
-    release(spark, mark, rows, nodes, met)
+    rows = materialize(_sets(docs, id_col, text_col), "copies-rows")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.min("n").alias("n"), F.min("fp").alias("fp"))
+    nodes = materialize(nodes, "copies-nodes")
+    met = materialize(_rare(docs, nodes, text_col, least), "copies-met")
     # The pivot has the fewest rarer shingles of its own, so it is the one nearest to all.
     pivots = materialize(met.groupBy(F.col("value").alias("p_value")).agg(F.min(F.struct("pos", "node", "n")).alias("pivot")), "copies-pivots")
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 
 import corpus_pipeline as C
 from millrace.llm import common
@@ -125,3 +127,43 @@ def test_shingles_of_one_set_are_not_dealt(spark, monkeypatch):
     monkeypatch.setattr(N, "materialize", counted)
     assert N.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count() == 50
     assert 2 <= counts["copies-met"] <= 2 * 21
+
+
+def test_sets_with_a_fifth_of_their_own_meet_nobody(spark, monkeypatch):
+    """Passages that few documents share, however many passages there are, propose no pair where the rest differs."""
+    rows = [(k, " ".join([f"w{k}x{i}" for i in range(60)] + [f"p{k % 100}x{i}" for i in range(40)])) for k in range(300)]
+    rows += [(1000 + k, t + " end") for k, t in rows[:3]]
+    seen, verified = [], N._verified
+    monkeypatch.setattr(N, "_verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in N.one_of_each(docs).collect()} == plain_kept(rows) == set(range(300))
+    assert sum(seen) <= 6
+
+
+def test_shared_shingles_are_counted_over_sets():
+    rng = np.random.default_rng(4)
+    values, nodes = rng.integers(0, 400, 3000, np.uint64), rng.integers(0, 1 << 64, 9, np.uint64)[rng.integers(0, 9, 3000)]
+    values[:500] += np.uint64(1 << 60)
+    pairs = set(zip(values.tolist(), nodes.tolist(), strict=True))
+    counts = Counter(v for v, _ in pairs)
+    got = list(zip(*(x.tolist() for x in N.shared_shingles(values, nodes)), strict=True))
+    assert len(got) == len(set(got)) and set(got) == {(v, n, counts[v]) for v, n in pairs if counts[v] > 1}
+    assert [len(x) for x in N.shared_shingles(values[:0], nodes[:0])] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("most", [1 << 23, 20])
+def test_rarest_are_exact(spark, monkeypatch, most):
+    """In more regions than a byte tells apart, too: what is dealt is each set's first fifth by exact counts."""
+    monkeypatch.setattr(N, "REGION_SHINGLES", most)
+    rows = copies()
+    sets = {N.set_hash(s): s.tolist() for s in (N.shingle_set(t) for _, t in rows)}
+    counts = Counter(v for s in sets.values() for v in s)
+    signed = lambda x: x - (x >> 63 << 64)
+    want = set()
+    for node, own in sets.items():
+        order = sorted(own, key=lambda v: (counts[v], signed(v)) if counts[v] > 1 else (1, 0))
+        first = len(own) - int(np.ceil(0.8 * len(own) - 1e-9)) + 1 if own else 0
+        want |= {(signed(v), signed(node), len(own), k) for k, v in enumerate(order[:first]) if counts[v] > 1}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    nodes = N._sets(docs, "doc_id", "text").select("node", "n").distinct()
+    assert len(want) > 1000 and {tuple(r) for r in N._rare(docs, nodes, "text", 0.8).collect()} == want
