@@ -10,6 +10,7 @@ from millrace.operators import decide, metrics, training, tuning
 from millrace.operators import features as X
 from millrace.operators.keys import STOPWORDS, blocking_keys, weight_of
 from millrace.operators.model import BoostedTrees, Scorecard
+from millrace.plans import resolve as R
 
 NORMAL = "country string, entity_id string, name_clean string, name_core string, addr_clean string, postal string"
 
@@ -192,3 +193,29 @@ def test_quota_edges(spark):
         take = -(-len(own) * 15 // 100)
         want |= {(a, "valid" if k < take else "train") for k, (_, a) in enumerate(own)}
     assert got == want
+
+
+def test_all_keys_count_without_a_cap(spark):
+    """Against scores of every pair, whichever keys are taken as frequent."""
+    words = ["alpha", "delta", "granite", "orchid", "summit", "harbour"]
+
+    def made(src, size, steps):
+        names = [" ".join(words[(i * step + k) % 6] for k, step in enumerate(steps)) for i in range(size)]
+        rows = [("India" if i % 5 == 0 else "US", f"{src}-{i}", n, n, f"{i % 7} station road", None if i % 3 else "12345") for i, n in enumerate(names)]
+        return blocking_keys(records(spark, rows)).cache()
+
+    s, t = made("S1", 60, (1, 5, 7)), made("S2", 150, (1, 7, 11))
+    pairs = s.alias("s").join(t.alias("t"), ["country", "key"]).groupBy(F.col("s.entity_id").alias("s1_id"), F.col("t.entity_id").alias("t_id")).agg(F.sum("s.weight").alias("score"))
+    wanted = sorted(map(tuple, B.top_candidates(pairs, 7).collect()))
+    assert len(wanted) == 60 * 7
+    for frequent in (0, 20, 60):
+        assert sorted(map(tuple, B.whole_candidates(s, t, 7, frequent).collect())) == wanted
+
+
+def test_training_sees_pairs_of_frequent_keys(spark):
+    record = "country string, entity_id string, business_name string, business_address string"
+    s = spark.createDataFrame([("US", "S1-1", "acme", None)], record)
+    t = spark.createDataFrame([("US", f"S2-{i:03}", "acme", None) for i in range(B.MAX_POSTINGS + 1)], record)
+    truth = spark.createDataFrame([("S1-1", "S2-300")], "s1_id string, t_id string")
+    model, valid = R.train(s, t, truth, rounds=1)
+    assert valid.count() == 4  # 15 % of 15 candidates and of a true pair, rounded up
